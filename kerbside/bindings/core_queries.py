@@ -19,10 +19,10 @@ _BASE = (
 # ---- deduplicated base and typed events -----------------------------------------
 
 register("base_trip_events", query(f"SELECT {columns(_BASE)} FROM base", "base"))(
-    lambda m: m.base.select(*_BASE)
+    lambda m: m.build_base().select(*_BASE)
 )
 register("base_presence_events", query(f"SELECT {columns(_BASE)} FROM pbase", "pbase"))(
-    lambda m: m.presence.select(*_BASE)
+    lambda m: m.build_presence().select(*_BASE)
 )
 
 _TYPED = {
@@ -88,7 +88,7 @@ _ASSEMBLED = (
     "latest_request"
 ).split()
 register("trips_assembled", query(f"SELECT {columns(_ASSEMBLED)} FROM trips", "trips"))(
-    lambda m: m.trips.select(*_ASSEMBLED)
+    lambda m: m.build_trips().select(*_ASSEMBLED)
 )
 
 _SESSION = (
@@ -98,13 +98,13 @@ _SESSION = (
     "on_trip_seconds is_session_open trips_per_online_hour utilisation_pct zone_drift"
 ).split()
 register("sessions_assembled", query(f"SELECT {columns(_SESSION)} FROM ses", "ses"))(
-    lambda m: m.sessions.select(*_SESSION)
+    lambda m: m.build_sessions().select(*_SESSION)
 )
 
 # ---- facts and dimensions -------------------------------------------------------
 
 register("fct_trips", query(f"SELECT {columns(_TRIP_COLUMNS)} FROM ft", "ft"))(
-    lambda m: m.fct_trips
+    lambda m: m.build_fct_trips()
 )
 
 _PAYMENT = (
@@ -114,7 +114,7 @@ _PAYMENT = (
     "had_failed_attempts settlement_due_at gateway_fee_amount is_quarantined"
 ).split()
 register("fct_payments", query(f"SELECT {columns(_PAYMENT)} FROM fp", "fp"))(
-    lambda m: m.fct_payments.select(*_PAYMENT)
+    lambda m: m.build_fct_payments().select(*_PAYMENT)
 )
 
 _DRIVER_SESSION = (
@@ -126,7 +126,7 @@ _DRIVER_SESSION = (
     "counts_disagree device_platform app_version"
 ).split()
 register("fct_driver_sessions", query(f"SELECT {columns(_DRIVER_SESSION)} FROM fs", "fs"))(
-    lambda m: m.fct_driver_sessions
+    lambda m: m.build_fct_driver_sessions()
 )
 
 _TRIP_EVENT = (
@@ -136,7 +136,7 @@ _TRIP_EVENT = (
     "producer_version environment payload_json kafka_topic kafka_partition kafka_offset"
 ).split()
 register("fct_trip_events", query(f"SELECT {columns(_TRIP_EVENT)} FROM fe", "fe"))(
-    lambda m: m.fct_trip_events
+    lambda m: m.build_fct_trip_events()
 )
 
 _DATE = (

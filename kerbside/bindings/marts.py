@@ -1,11 +1,15 @@
-"""Every table of the pipeline, lazily, over the driver's tables."""
+"""Every table of the pipeline over the driver's tables.
+
+As in a production run, each layer is written once and the next layer reads it: the landing
+zone, the deduplicated base, assembled trips and sessions, the facts. A `build_*` method
+computes one layer from the stored layer below it.
+"""
 
 from __future__ import annotations
 
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.bindings.tables import derived_landing
@@ -13,114 +17,109 @@ from kerbside.operators.assembly import assemble_sessions, quarantined, trips_fr
 from kerbside.operators.staging import base_events, typed_events
 from kerbside.plans import calendar, facts, quality
 from kerbside.schemas import PRESENCE, PRESENCE_EVENT_TYPES, TRIPS
+from kerbside.session import configure
+from kerbside.shared import written_once
 from kerbside.sources.dimensions import load_dimensions
 
+STORED = ("landing", "presence_landing", "base", "presence", "trips", "sessions", "fct_trips",
+          "fct_payments", "fct_driver_sessions", "fct_trip_events")
 
-class Marts:
-    """Lazy pipeline tables; nothing runs until a query's result is used."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        sf_dir: str | None = None,
-        landing: DataFrame | None = None,
-        presence_landing: DataFrame | None = None,
-    ):
-        self.spark = spark
-        self._landing = derived_landing(spark, sf_dir, TRIPS) if landing is None else landing
-        self._presence = presence_landing
-        self._sf_dir = sf_dir
-
-    @cached_property
-    def landing(self) -> DataFrame:
-        return self._landing
 
-    @cached_property
-    def presence_landing(self) -> DataFrame:
-        if self._presence is not None:
-            return self._presence
-        return derived_landing(self.spark, self._sf_dir, PRESENCE)
+class Marts:
+    """Pipeline tables by attribute; `stored=False` keeps everything one lazy plan."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True):
+        self.spark = configure(spark)
+        self.sf_dir = sf_dir
+        self.stored = stored
+
+    def __getattr__(self, name: str):
+        if name.startswith("build_") or f"build_{name}" not in dir(type(self)):
+            raise AttributeError(name)
+        build = getattr(self, f"build_{name}")
+        if self.stored and name in STORED:
+            table = written_once(self.spark, self.sf_dir, name, build)
+        else:
+            table = build()
+        self.__dict__[name] = table
+        return table
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         return load_dimensions(self.spark)
 
-    @cached_property
-    def base(self) -> DataFrame:
-        return base_events(self.landing)
-
-    @cached_property
-    def presence(self) -> DataFrame:
-        return base_events(self.presence_landing)
-
     def typed(self, event_type: str) -> DataFrame:
         source = self.presence if event_type in PRESENCE_EVENT_TYPES else self.base
         return typed_events(source, event_type)
 
-    @cached_property
-    def trips(self) -> DataFrame:
+    def named(self, *wanted: str) -> dict[str, DataFrame]:
+        """The named marts plus all dimensions."""
+        return {
+            **self.dims,
+            "dim_time": self.dim_time,
+            **{name: getattr(self, name) for name in wanted},
+        }
+
+    def build_landing(self) -> DataFrame:
+        return derived_landing(self.spark, self.sf_dir, TRIPS)
+
+    def build_presence_landing(self) -> DataFrame:
+        return derived_landing(self.spark, self.sf_dir, PRESENCE)
+
+    def build_base(self) -> DataFrame:
+        return base_events(self.landing)
+
+    def build_presence(self) -> DataFrame:
+        return base_events(self.presence_landing)
+
+    def build_trips(self) -> DataFrame:
         return trips_from_base(self.base)
 
-    @cached_property
-    def sessions(self) -> DataFrame:
+    def build_sessions(self) -> DataFrame:
         return assemble_sessions(
             self.typed("DriverOnline"), self.typed("DriverOffline"), self.trips
         )
 
-    @cached_property
-    def fct_trips(self) -> DataFrame:
+    def build_fct_trips(self) -> DataFrame:
         return facts.fct_trips(self.trips, self.dims)
 
-    @cached_property
-    def fct_payments(self) -> DataFrame:
+    def build_fct_payments(self) -> DataFrame:
         return facts.fct_payments(self.base, self.dims, self.trips)
 
-    @cached_property
-    def fct_driver_sessions(self) -> DataFrame:
+    def build_fct_driver_sessions(self) -> DataFrame:
         return facts.fct_driver_sessions(self.sessions, self.dims)
 
-    @cached_property
-    def fct_trip_events(self) -> DataFrame:
-        return facts.fct_trip_events(self.base, self.dims, sizes_from=self.landing)
+    def build_fct_trip_events(self) -> DataFrame:
+        return facts.fct_trip_events(self.base, self.dims)
 
-    @cached_property
-    def dim_date(self) -> DataFrame:
+    def build_dim_date(self) -> DataFrame:
         return calendar.dim_date(self.trips)
 
-    @cached_property
-    def dim_time(self) -> DataFrame:
+    def build_dim_time(self) -> DataFrame:
         return calendar.dim_time(self.spark)
 
-    @cached_property
-    def quarantined_trips(self) -> DataFrame:
+    def build_quarantined_trips(self) -> DataFrame:
         return quarantined(self.fct_trips)
 
-    @cached_property
-    def fct_pipeline_quality(self) -> DataFrame:
+    def build_fct_pipeline_quality(self) -> DataFrame:
         return quality.pipeline_quality(
             self.base, self.presence, self.fct_trips, self.fct_payments, self.fct_driver_sessions
         )
 
-    def named(self, *facts_wanted: str) -> dict[str, DataFrame]:
-        """The named marts plus all dimensions."""
-        return {
-            **self.dims,
-            "dim_time": self.dim_time,
-            **{name: getattr(self, name) for name in facts_wanted},
-        }
-
 
 def plain(df: DataFrame) -> DataFrame:
     """Column types both engines print alike: double, bigint, zone-less timestamps."""
 
-    def cast(field: T.StructField):
-        col = F.col(f"`{field.name}`")
+    def cast(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, (T.DecimalType, T.FloatType)):
-            return col.cast("double").alias(field.name)
+            return f"cast({name} AS double) AS {name}"
         if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            return col.cast("bigint").alias(field.name)
+            return f"cast({name} AS bigint) AS {name}"
         if isinstance(field.dataType, T.TimestampType):
-            return col.cast("timestamp_ntz").alias(field.name)
-        return col
+            return f"cast({name} AS timestamp_ntz) AS {name}"
+        return name
+
+    return df.selectExpr(*[cast(f) for f in df.schema])
+
 
-    return df.select(*[cast(f) for f in df.schema])

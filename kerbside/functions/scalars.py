@@ -12,58 +12,63 @@ EARTH_RADIUS_KM = 6371.0088
 # Every cast is a try_cast: one malformed value becomes NULL, it never stops a job.
 
 
-def _field(field: str, source: Column | None) -> Column:
-    """A payload field as text, from parsed JSON when given, else from the JSON column."""
-    if source is not None:
-        return source.getField(field)
-    return F.get_json_object(F.col(PAYLOAD), f"$.{field}")
+def payload_sql(field: str, kind: str, source: str | None = None) -> str:
+    """SQL for one payload field under its kind.
 
+    `source` is the parsed payload struct; without it the field is read from the JSON text.
+    Kinds: text, nullable, int, bigint, money, coord, bool, ts, dec(p,s).
+    """
+    text = f"{source}.{field}" if source else f"get_json_object({PAYLOAD}, '$.{field}')"
+    if kind == "text":
+        return text
+    if kind == "nullable":
+        return f"nullif({text}, '')"
+    if kind in ("int", "bigint"):
+        # Fractional text rounds to the nearest integer; the exact parse is tried first.
+        rounded = f"try_cast(round(try_cast({text} AS decimal(38,6)), 0) AS {kind})"
+        return f"coalesce(try_cast({text} AS {kind}), {rounded})"
+    target = {
+        "money": "decimal(12,2)", "coord": "decimal(9,6)", "bool": "boolean", "ts": "timestamp",
+    }.get(kind, kind.replace("dec(", "decimal("))
+    return f"try_cast({text} AS {target})"
 
-def payload_text(field: str, source: Column | None = None) -> Column:
-    return _field(field, source)
 
+def payload_text(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "text", source))
 
-def payload_text_nullable(field: str, source: Column | None = None) -> Column:
-    return F.nullif(_field(field, source), F.lit(""))
 
+def payload_text_nullable(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "nullable", source))
 
-def _integral(field: str, source: Column | None, type_name: str) -> Column:
-    # Fractional text rounds to the nearest integer; the exact parse is tried first.
-    text = _field(field, source)
-    return F.coalesce(
-        text.try_cast(type_name),
-        F.round(text.try_cast("decimal(38,6)"), 0).try_cast(type_name),
-    )
 
+def payload_int(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "int", source))
 
-def payload_int(field: str, source: Column | None = None) -> Column:
-    return _integral(field, source, "int")
 
-
-def payload_bigint(field: str, source: Column | None = None) -> Column:
-    return _integral(field, source, "bigint")
+def payload_bigint(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "bigint", source))
 
 
 def payload_decimal(
-    field: str, precision: int = 10, scale: int = 2, source: Column | None = None
+    field: str, precision: int = 10, scale: int = 2, source: str | None = None
 ) -> Column:
-    return _field(field, source).try_cast(f"decimal({precision},{scale})")
+    return F.expr(payload_sql(field, f"dec({precision},{scale})", source))
 
 
-def payload_money(field: str, source: Column | None = None) -> Column:
-    return payload_decimal(field, 12, 2, source)
+def payload_money(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "money", source))
 
 
-def payload_coordinate(field: str, source: Column | None = None) -> Column:
-    return payload_decimal(field, 9, 6, source)
+def payload_coordinate(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "coord", source))
 
 
-def payload_bool(field: str, source: Column | None = None) -> Column:
-    return _field(field, source).try_cast("boolean")
+def payload_bool(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "bool", source))
 
 
-def payload_timestamp(field: str, source: Column | None = None) -> Column:
-    return _field(field, source).try_cast("timestamp")
+def payload_timestamp(field: str, source: str | None = None) -> Column:
+    return F.expr(payload_sql(field, "ts", source))
 
 
 # ---- local time ---------------------------------------------------------------

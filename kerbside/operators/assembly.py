@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import round_dp
+from kerbside.functions.scalars import payload_sql
 from kerbside.operators.running import running_totals
-from kerbside.operators.staging import parsed_payload, typed_column, typed_events
+from kerbside.operators.staging import parsed_payload, typed_events
 from kerbside.schemas import TRIP_EVENT_TYPES, event_fields
 
 EXPIRY_MINUTES = 10
@@ -112,23 +113,23 @@ def assemble_trips(base: DataFrame, horizon: Column | None = None) -> DataFrame:
         F.bool_or(F.col("_role.is_counted") & F.col("is_late_arrival_event")).alias("_any_late"),
     )
     taken = [
-        F.col(f"{prefix}.{entry.split('>')[0]}").alias(entry.split(">")[-1])
+        f"{prefix}.{entry.split('>')[0]} AS {entry.split('>')[-1]}"
         for prefix, entries in _TAKEN.items()
         for entry in entries.split()
     ]
-    return grouped.where("_has_attribute").select(
+    assembled = grouped.where("_has_attribute").selectExpr(
         "trip_id",
         _first_of(_RIDER_FROM, "rider_id"),
         _first_of(_DRIVER_FROM, "driver_id"),
         _first_of(_CITY_FROM, "city_id"),
         *taken,
-        (F.col("pay.attempt_number") > 1).alias("had_failed_attempts"),
-        F.col("com.surge_multiplier").alias("charged_surge_multiplier"),
+        "pay.attempt_number > 1 AS had_failed_attempts",
+        "com.surge_multiplier AS charged_surge_multiplier",
         "event_count",
-        F.coalesce(F.col("_max_late"), F.lit(0.0)).alias("max_lateness_sec"),
-        F.coalesce(F.col("_any_late"), F.lit(False)).alias("had_late_events"),
-        horizon.alias("latest_request"),
+        "coalesce(_max_late, 0.0D) AS max_lateness_sec",
+        "coalesce(_any_late, false) AS had_late_events",
     )
+    return assembled.withColumn("latest_request", horizon)
 
 
 def _role(trip_id: Column, attribute: bool, counted: bool) -> Column:
@@ -141,18 +142,19 @@ def _role(trip_id: Column, attribute: bool, counted: bool) -> Column:
 
 def _earliest(event_type: str) -> Column:
     """The earliest event of a type in the group, with its typed fields."""
-    payload = F.col("_payload")
-    typed = [
-        typed_column(f, kind, payload).alias(f)
+    typed = ", ".join(
+        f"{payload_sql(f, kind, '_payload')} AS {f}"
         for f, kind in event_fields(event_type)
         if f != "trip_id"
-    ]
-    mine = (F.col("event_type") == event_type) & F.col("_role.is_attribute")
-    return F.min(F.when(mine, F.struct("event_timestamp", "event_id", *typed)))
+    )
+    return F.expr(
+        f"min(CASE WHEN event_type = '{event_type}' AND _role.is_attribute "
+        f"THEN struct(event_timestamp, event_id, {typed}) END)"
+    )
 
 
-def _first_of(prefixes: tuple[str, ...], field: str) -> Column:
-    return F.coalesce(*[F.col(f"{p}.{field}") for p in prefixes]).alias(field)
+def _first_of(prefixes: tuple[str, ...], field: str) -> str:
+    return f"coalesce({', '.join(f'{p}.{field}' for p in prefixes)}) AS {field}"
 
 
 def conflicting_events(base: DataFrame) -> DataFrame:

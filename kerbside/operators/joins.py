@@ -10,21 +10,28 @@ from pyspark.sql import functions as F
 from kerbside.functions import unknown_key
 
 
+Role = tuple[str, DataFrame, str, str]
+
+
+def lookup_keys(fact: DataFrame, roles: dict[str, Role]) -> DataFrame:
+    """Resolve natural keys to surrogates; a miss or NULL becomes -1, no row is lost.
+
+    `roles` maps the new column to (fact column, dimension, code column, id column). One
+    dimension may play several roles.
+    """
+    joined = fact
+    for alias, (code, dim, dim_code, dim_id) in roles.items():
+        members = dim.selectExpr(f"{dim_code} AS _code_{alias}", f"{dim_id} AS _id_{alias}")
+        joined = joined.join(members, F.col(code) == F.col(f"_code_{alias}"), "left")
+    kept = [c for c in fact.columns if c not in roles]
+    return joined.select(*kept, *[unknown_key(F.col(f"_id_{a}")).alias(a) for a in roles])
+
+
 def lookup_key(
     fact: DataFrame, dim: DataFrame, code: str, dim_code: str, dim_id: str, alias: str
 ) -> DataFrame:
-    """Resolve a natural key to its surrogate; a miss or NULL becomes -1, no row is lost.
-
-    The same dimension can be resolved again under another alias.
-    """
-    members = dim.select(
-        F.col(dim_code).alias(f"_code_{alias}"), F.col(dim_id).alias(f"_id_{alias}")
-    )
-    return (
-        fact.join(members, F.col(code) == F.col(f"_code_{alias}"), "left")
-        .withColumn(alias, unknown_key(F.col(f"_id_{alias}")))
-        .drop(f"_code_{alias}", f"_id_{alias}")
-    )
+    """Resolve one natural key."""
+    return lookup_keys(fact, {alias: (code, dim, dim_code, dim_id)})
 
 
 def drill_across(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions import scalars as S
+from kerbside.functions.scalars import payload_sql
 from kerbside.operators.dedup import dedup_keep_first
 from kerbside.schemas import LATE_MILLIS, event_fields, text_schema
 
@@ -47,24 +45,6 @@ def base_events(landing: DataFrame, environment: str = "local") -> DataFrame:
     )
 
 
-def typed_column(field: str, kind: str, source: Column | None = None) -> Column:
-    """One payload field under its declared kind."""
-    decimal = re.fullmatch(r"dec\((\d+),(\d+)\)", kind)
-    if decimal:
-        return S.payload_decimal(field, int(decimal[1]), int(decimal[2]), source)
-    extractor = {
-        "text": S.payload_text,
-        "nullable": S.payload_text_nullable,
-        "int": S.payload_int,
-        "bigint": S.payload_bigint,
-        "money": S.payload_money,
-        "coord": S.payload_coordinate,
-        "bool": S.payload_bool,
-        "ts": S.payload_timestamp,
-    }[kind]
-    return extractor(field, source)
-
-
 def parsed_payload(df: DataFrame, fields: list[str], name: str = "_payload") -> DataFrame:
     """Parse the payload once per row into a struct of text fields."""
     return df.withColumn(name, F.from_json("payload_json", text_schema(fields)))
@@ -92,9 +72,10 @@ def typed_events(base: DataFrame, event_type: str) -> DataFrame:
     fields = event_fields(event_type)
     envelope = ("event_id", "event_timestamp", "ingested_at", *_EXTRA_ENVELOPE.get(event_type, ()))
     parsed = parsed_payload(base.where(F.col("event_type") == event_type), [f for f, _ in fields])
-    source = F.col("_payload")
-    typed = parsed.select(
-        *envelope, *[typed_column(f, kind, source).alias(f) for f, kind in fields]
+    typed = parsed.selectExpr(
+        *envelope, *[f"{payload_sql(f, kind, '_payload')} AS {f}" for f, kind in fields]
     )
-    derived = _DERIVED.get(event_type, {})
-    return typed.select("*", *[F.expr(sql).alias(name) for name, sql in derived.items()])
+    derived = _DERIVED.get(event_type)
+    if not derived:
+        return typed
+    return typed.selectExpr("*", *[f"{sql} AS {name}" for name, sql in derived.items()])

@@ -13,7 +13,7 @@ from kerbside.functions import (
     round_dp,
     unknown_key,
 )
-from kerbside.operators.joins import lookup_key
+from kerbside.operators.joins import lookup_key, lookup_keys
 from kerbside.operators.sequence import sequence_events
 from kerbside.operators.staging import typed_events
 from kerbside.sources.dimensions import city_zones
@@ -84,8 +84,11 @@ def _with_local_zone(df: DataFrame, dims: Dims, city: str = "city_id") -> DataFr
 def fct_trips(trips: DataFrame, dims: Dims) -> DataFrame:
     """One row per trip, completed or not, with surrogate keys and local request time."""
     fact = _with_local_zone(trips, dims)
-    for alias, (code, dim, dim_code, dim_id) in _TRIP_ROLES.items():
-        fact = lookup_key(fact, dims[dim], code, dim_code, dim_id, alias)
+    fact = lookup_keys(
+        fact,
+        {alias: (code, dims[dim], dim_code, dim_id)
+         for alias, (code, dim, dim_code, dim_id) in _TRIP_ROLES.items()},
+    )
     zone = F.col("city_timezone")
     requested = F.col("requested_at")
     return fact.withColumns(
@@ -147,10 +150,12 @@ def fct_payments(
 def fct_driver_sessions(sessions: DataFrame, dims: Dims) -> DataFrame:
     """One row per driver session; reported and observed work compared."""
     fact = _with_local_zone(sessions, dims)
-    fact = lookup_key(fact, dims["dim_vehicle_type"], "vehicle_type", "vehicle_type_code",
-                      "vehicle_type_id", "vehicle_type_id")
-    fact = lookup_key(fact, dims["dim_driver_status"], "driver_status", "driver_status_code",
-                      "driver_status_id", "driver_status_id")
+    fact = lookup_keys(fact, {
+        "vehicle_type_id": ("vehicle_type", dims["dim_vehicle_type"], "vehicle_type_code",
+                            "vehicle_type_id"),
+        "driver_status_id": ("driver_status", dims["dim_driver_status"], "driver_status_code",
+                             "driver_status_id"),
+    })
     zone = F.col("city_timezone")
     online = F.col("online_at")
     return fact.select(
