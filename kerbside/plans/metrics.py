@@ -368,7 +368,13 @@ def _ratio_measures() -> dict[str, tuple[tuple[str, ...], Column]]:
     }
 
 
-MEASURES = (*_base_measures(), *_ratio_measures())
+MEASURES = (
+    "trips_requested", "trips_completed", "trips_cancelled", "trips_unmatched", "gross_bookings",
+    "driver_payout", "platform_commission", "surge_revenue", "pre_surge_revenue",
+    "amount_collected", "gateway_fees", "discounts", "driver_sessions", "online_hours",
+    "completion_rate_pct", "cancellation_rate_pct", "unmet_demand_pct", "weighted_surge_pct",
+    "net_platform_revenue", "trips_per_online_hour",
+)
 
 # Column each fact uses for a shared grain.
 _GRAIN = {
