@@ -10,6 +10,7 @@ REQUIRED = {
     "spark.sql.ansi.enabled": "true",
     # A JSON object with a repeated key keeps the last value instead of failing.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # The JVM never compiles methods above 8,000 bytes of bytecode. Past that size, Spark
     # splits wide projections into small methods, which run compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
