@@ -58,7 +58,7 @@ def quoted(sql: str) -> str:
 
 
 def nullable(sql: str) -> str:
-    return f"coalesce(concat('\"', {sql}, '\"'), 'null')"
+    return f"CASE WHEN {sql} IS NULL THEN 'null' ELSE concat('\"', {sql}, '\"') END"
 
 
 def number(sql: str) -> str:

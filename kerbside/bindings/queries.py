@@ -41,4 +41,11 @@ def register_direct(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from kerbside.bindings import core_queries, metric_queries, quality_queries, stream_queries  # noqa: F401
+    from kerbside.bindings import (  # noqa: F401
+        core_queries,
+        incremental_queries,
+        market_queries,
+        metric_queries,
+        quality_queries,
+        stream_queries,
+    )

@@ -43,7 +43,7 @@ def raw_value() -> str:
         text("partition_key", f"CASE WHEN {_D} = 19 THEN '' ELSE partition_key END"),
         text("correlation_id", "correlation_id"),
         f"CASE WHEN {_D} = 4 THEN '' ELSE concat('\"causation_id\":', "
-        "coalesce(concat('\"', causation_id, '\"'), 'null'), ',') END",
+        "CASE WHEN causation_id IS NULL THEN 'null' ELSE concat('\"', causation_id, '\"') END, ',') END",
         text("producer_service", "producer_service"),
         text("producer_version", "producer_version"),
         text("environment", f"CASE WHEN {_D} = 11 THEN 'moon' ELSE environment END"),
