@@ -52,13 +52,14 @@ def fare_breakdown(trips: DataFrame, cities: DataFrame, vehicles: DataFrame) ->
         (F.col("surge_multiplier") >= 1) & (F.col("distance_km") > 0) & (F.col("duration_sec") > 0)
     ).join(rates, "city_id").join(factors, "vehicle_type")
     hundred = F.lit(100).cast("decimal(3,0)")
-    minutes = F.col("duration_sec").cast("decimal(10,0)") / F.lit(60).cast("decimal(2,0)")
+    # Multiplying before dividing keeps the product exact.
+    timed = F.col("duration_sec").cast("decimal(10,0)") * F.col("per_min_rate")
     parts = priced.withColumns({
         "base_fare": _cents(F.col("city_base_fare") * F.col("base_fare_multiplier")),
         "distance_fare": _cents(
             F.col("distance_km") * F.col("per_km_rate") * F.col("per_km_multiplier")
         ),
-        "time_fare": _cents(minutes * F.col("per_min_rate")),
+        "time_fare": _cents(timed / F.lit(60).cast("decimal(2,0)")),
         "airport_fee": _cents(
             F.when(F.col("is_airport_trip"), F.col("city_airport_fee")).otherwise(F.lit(0))
         ),
