@@ -101,8 +101,10 @@ def _once(df: DataFrame, **columns: str) -> DataFrame:
     The optimizer copies expressions into the filters it pushes down; here that would parse
     every message hundreds of times. A generated row keeps them in place.
     """
-    fields = ", ".join(f"'{name}', {sql}" for name, sql in columns.items())
-    return df.selectExpr("*", f"inline(array(named_struct({fields})))")
+    # A projection computes them, since it compiles in pieces; the generated row only copies.
+    computed = df.selectExpr("*", *[f"{sql} AS _once_{name}" for name, sql in columns.items()])
+    fields = ", ".join(f"'{name}', _once_{name}" for name in columns)
+    return computed.selectExpr(*df.columns, f"inline(array(named_struct({fields})))")
 
 
 def validate(raw: DataFrame) -> DataFrame:
