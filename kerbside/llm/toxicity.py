@@ -106,13 +106,15 @@ class Matcher:
         for phrase in model.exceptions:
             words = fold(phrase).rstrip()
             self.automaton.add_word(words, (len(words), None))
-        self.automaton.make_automaton()
+        self.filled = len(self.automaton) > 0
+        if self.filled:
+            self.automaton.make_automaton()
 
     def measure(self, text: str) -> tuple[float, int]:
         """(sum of weights, words). A match inside an exception phrase counts nothing."""
         folded = fold(text)
         found, excused = [], []
-        for end, (length, weight) in self.automaton.iter(folded):
+        for end, (length, weight) in self.automaton.iter(folded) if self.filled else ():
             if weight is None:
                 excused.append((end - length + 1, end))
             else:
