@@ -58,20 +58,29 @@ _FOLDED = str.maketrans(
     | {chr(0xFF41 + i): chr(ord("a") + i) for i in range(26)}  # full-width letters
     | {chr(0xFF10 + i): str(i) for i in range(10)}
 )
-_MIXED = re.compile(
-    r"[\w@$!|]*(?:[^\W\d_][0134578]|[0134578@$!|][^\W\d_])[\w@$!|]*"
-)
-_SIGN = re.compile(r"[0134578]|[@$!|](?=[^\W\d_])")
-_APART = re.compile(r"[\W\d_]+")
+_ALIKE = re.compile(f"[{''.join(map(chr, _FOLDED))}]")
+_RUN = re.compile(r"[0134578@$!|]+")
+_WORD = re.compile(r"[^\W\d_]+")
+_ANY = str.maketrans(STANDS_FOR)
+_DIGITS = str.maketrans({k: v for k, v in STANDS_FOR.items() if k.isdigit()})
+
+
+def _as_letters(found: re.Match) -> str:
+    """Digits beside a letter, and signs before one, as the letters they stand for."""
+    text, start, end = found.string, found.start(), found.end()
+    if end < len(text) and text[end].isalpha():
+        return found.group().translate(_ANY)
+    if start and text[start - 1].isalpha():
+        return found.group().translate(_DIGITS)
+    return found.group()
 
 
 def fold(text: str) -> str:
     """Folded words, each between single spaces."""
     low = text.lower()
-    if not low.isascii():
+    if _ALIKE.search(low):
         low = low.translate(_FOLDED)
-    low = _MIXED.sub(lambda m: _SIGN.sub(lambda c: STANDS_FOR[c.group()], m.group()), low)
-    return f" {_APART.sub(' ', low).strip()} "
+    return f" {' '.join(_WORD.findall(_RUN.sub(_as_letters, low)))} "
 
 
 def features(folded: str) -> set[str]:
@@ -122,7 +131,7 @@ class Matcher:
         if excused:
             found = [(at, w) for at, w in found
                      if not any(first <= at < last for first, last in excused)]
-        return sum(w for _, w in found), len(folded.split())
+        return sum(w for _, w in found), folded.count(" ") - 1 if len(folded) > 2 else 0
 
 
 def _points(weight: np.ndarray, words: np.ndarray) -> np.ndarray:
