@@ -75,8 +75,7 @@ register(
     "original_value_base64 string",
 ).alias("b")).select(
     "topic", "b.rejection_reason", "b.source_partition", "b.source_offset",
-    # Long base64 text is wrapped by the encoder; the line breaks carry no data.
-    F.regexp_replace("b.original_value_base64", r"\s", "").alias("original_value_base64"),
+    "b.original_value_base64",
 ))
 register(
     "replay_dead_letters",

@@ -24,7 +24,9 @@ def read_raw_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     settings = {
         "subscribe": ",".join(FAMILY_FOR),
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "10000",
+        # A batch starts at 10,000 messages or after 60 seconds, and takes all there is.
+        "minOffsetsPerTrigger": "10000",
+        "maxTriggerDelay": "60s",
         "includeHeaders": "true",
         "failOnDataLoss": "true",
         **options,

@@ -58,7 +58,8 @@ def dead_letter_rows(rejected: DataFrame, group: str, now=None) -> DataFrame:
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"),
         _readable(F.col("key")).alias("original_key"),
-        F.base64("value").alias("original_value_base64"),
+        # The encoder wraps long text; consumers of the topic expect one line.
+        F.regexp_replace(F.base64("value"), r"\s", "").alias("original_value_base64"),
         named.alias("original_headers"),
     )
     target = reduce(

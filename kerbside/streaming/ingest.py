@@ -57,12 +57,15 @@ def start_ingest(
     raw_stream: DataFrame, paths: IngestPaths, trigger: dict | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(UTC),
 ) -> StreamingQuery:
-    """Run ingestion; every 60 seconds by default, `{"availableNow": True}` for a bounded run."""
+    """Run ingestion; `{"availableNow": True}` for a bounded run.
+
+    By default the source says when a batch is due (`read_raw_stream`).
+    """
     return (
         raw_stream.writeStream.foreachBatch(
             lambda batch, batch_id: ingest_batch(batch, paths, batch_id, clock=clock)
         )
         .option("checkpointLocation", paths.checkpoint)
-        .trigger(**(trigger or {"processingTime": "60 seconds"}))
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
         .start()
     )

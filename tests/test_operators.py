@@ -144,3 +144,45 @@ def test_dimensions_hold_their_rules(spark, marts):
 def test_dedup_plan_limits_each_key_before_the_shuffle(marts):
     plan = marts.build_base()._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_replacement_survives_empty_deltas(spark, tmp_path):
+    from kerbside.plans import incremental as I
+
+    target = f"{tmp_path}/t"
+    rows = spark.createDataFrame([("a", 20260101, 1), ("b", 20260102, 1)], "k string, d int, v int")
+    for part in (rows.limit(0), rows, rows.limit(0), rows.where("k = 'b'").selectExpr(
+            "k", "d + 1 AS d", "2 AS v")):
+        I.replace_by_key(spark, target, part, "k", F.col("d"))
+    got = {(r.k, r.d, r.v, r.part_date) for r in spark.read.parquet(target).collect()}
+    assert got == {("a", 20260101, 1, 20260101), ("b", 20260103, 2, 20260103)}
+
+
+def test_arrival_window_reaches_the_scan(spark, tmp_path):
+    from kerbside.plans import incremental as I
+
+    rows = spark.sql("SELECT timestamp'2026-01-01' AS landed_at, "
+                     "timestamp'2026-01-01' AS ingested_at, 'c' AS correlation_id")
+    rows.write.parquet(f"{tmp_path}/l")
+    window = I.arrival_window(None, backfill=("2026-01-01", "2026-01-02"))
+    found = I.touched_trips(spark.read.parquet(f"{tmp_path}/l"), window)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert "GreaterThanOrEqual(landed_at" in pushed and found.count() == 1
+
+
+def test_dead_letters_are_unwrapped(spark):
+    import base64
+    import json
+
+    from kerbside.sources import sinks
+
+    row = spark.createDataFrame(
+        [(b"k", b"x" * 400, "rides.trip-events.v1", 0, 1, [], "bad", "why")],
+        "key binary, value binary, topic string, partition int, offset long, "
+        "headers array<struct<key: string, value: binary>>, reason string, detail string")
+    from datetime import UTC, datetime
+
+    out = sinks.dead_letter_rows(row, "g", datetime(2026, 1, 1, tzinfo=UTC)).first()
+    assert json.loads(bytes(out.value))["original_value_base64"] == base64.b64encode(
+        b"x" * 400).decode()
