@@ -159,10 +159,6 @@ def scores(model: Model, weight: np.ndarray, words: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(_points(weight, words) @ np.array(model.curve), -30, 30)))
 
 
-def held_out(doc_id: Column) -> Column:
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS, F.lit(0)) == 0
-
-
 def _counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     """(feature, docs): in how many texts each feature, or each wanted one, occurs."""
 
