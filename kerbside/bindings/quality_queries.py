@@ -63,16 +63,20 @@ register(
           "WHERE abs(driver_payout + platform_commission - total_fare + tax_amount) > 0.01",
           "com"),
 )(lambda m: Q.payout_split(m.typed("RideCompleted")))
+_CHARGED = ("trip_fare", "tip_amount", "discount_amount", "amount_charged")
 _EXPECTED = "trip_fare + tip_amount - discount_amount"
 register(
     "rule_payment_amount",
-    query(f"SELECT payment_id, trip_id, {columns('trip_fare tip_amount discount_amount amount_charged')}, "
+    query(f"SELECT payment_id, trip_id, {columns(_CHARGED)}, "
           f"cast({_EXPECTED} AS double) AS expected_amount_charged FROM pay "
           f"WHERE abs({_EXPECTED} - amount_charged) > 0.01 OR amount_charged <= 0", "pay"),
 )(lambda m: Q.payment_amounts(m.typed("PaymentCompleted")))
+# FIXED VALUES: amounts of a completed ride that may not be negative.
+_AMOUNTS = ("airport_fee", "base_fare", "distance_fare", "driver_payout", "platform_commission",
+            "surge_amount", "tax_amount", "time_fare", "toll_amount")
 _NEG = " UNION ALL ".join(
     f"SELECT trip_id, '{c}' AS column_name, cast({c} AS double) AS value FROM com WHERE {c} < 0"
-    for c in Q._NEGATIVE
+    for c in _AMOUNTS
 )
 register(
     "rule_negative_money",
@@ -224,7 +228,7 @@ _RULES = f"""
     UNION ALL SELECT 'f2_payout_split', 'error', count(*) FILTER (
       abs(driver_payout + platform_commission - total_fare + tax_amount) > 0.01) FROM com
     UNION ALL SELECT 'f4_negative_money', 'error', count(*) FILTER (
-      {' OR '.join(f'{c} < 0' for c in Q._NEGATIVE)} OR total_fare <= 0) FROM com
+      {' OR '.join(f'{c} < 0' for c in _AMOUNTS)} OR total_fare <= 0) FROM com
     UNION ALL SELECT 'f5_surge_amount', 'error', count(*) FILTER (abs(surge_amount -
       (base_fare + distance_fare + time_fare) * (surge_multiplier - 1)) > 0.01) FROM com
     UNION ALL SELECT 'f3_amount_charged', 'error', count(*) FILTER (

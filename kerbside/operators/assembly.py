@@ -24,41 +24,74 @@ _PREFIX = {
     "PaymentCompleted": "pay",
 }
 
-# Which event supplies an assembled column, as "column" or "field>column".
+# ---- FIXED VALUES -------------------------------------------------------------
+# Which event supplies an assembled column: (field, column) pairs.
 _TAKEN = {
     "req": (
-        "requested_at pickup_lat pickup_lon pickup_zone_id dropoff_lat dropoff_lon "
-        "dropoff_zone_id vehicle_type>requested_vehicle_type estimated_fare "
-        "estimated_distance_km estimated_duration_sec surge_multiplier "
-        "payment_method>requested_payment_method customer_tier is_airport_pickup "
-        "is_airport_dropoff weather_code>request_weather_code "
-        "traffic_level>request_traffic_level promo_code device_platform app_version"
+        ("requested_at", "requested_at"), ("pickup_lat", "pickup_lat"),
+        ("pickup_lon", "pickup_lon"), ("pickup_zone_id", "pickup_zone_id"),
+        ("dropoff_lat", "dropoff_lat"), ("dropoff_lon", "dropoff_lon"),
+        ("dropoff_zone_id", "dropoff_zone_id"), ("vehicle_type", "requested_vehicle_type"),
+        ("estimated_fare", "estimated_fare"),
+        ("estimated_distance_km", "estimated_distance_km"),
+        ("estimated_duration_sec", "estimated_duration_sec"),
+        ("surge_multiplier", "surge_multiplier"),
+        ("payment_method", "requested_payment_method"), ("customer_tier", "customer_tier"),
+        ("is_airport_pickup", "is_airport_pickup"),
+        ("is_airport_dropoff", "is_airport_dropoff"), ("weather_code", "request_weather_code"),
+        ("traffic_level", "request_traffic_level"), ("promo_code", "promo_code"),
+        ("device_platform", "device_platform"), ("app_version", "app_version"),
     ),
     "acc": (
-        "accepted_at vehicle_id vehicle_type>delivered_vehicle_type matching_duration_sec "
-        "eta_to_pickup_sec distance_to_pickup_km driver_rating_at_accept "
-        "dispatch_attempt_number driver_zone_id>driver_pickup_zone_id"
+        ("accepted_at", "accepted_at"), ("vehicle_id", "vehicle_id"),
+        ("vehicle_type", "delivered_vehicle_type"),
+        ("matching_duration_sec", "matching_duration_sec"),
+        ("eta_to_pickup_sec", "eta_to_pickup_sec"),
+        ("distance_to_pickup_km", "distance_to_pickup_km"),
+        ("driver_rating_at_accept", "driver_rating_at_accept"),
+        ("dispatch_attempt_number", "dispatch_attempt_number"),
+        ("driver_zone_id", "driver_pickup_zone_id"),
+    ),
+    "arr": (
+        ("arrived_at", "arrived_at"),
+        ("actual_pickup_duration_sec", "actual_pickup_duration_sec"),
+        ("arrival_delay_sec", "arrival_delay_sec"), ("is_late_arrival", "is_late_arrival"),
+    ),
+    "sta": (
+        ("started_at", "started_at"), ("rider_wait_duration_sec", "rider_wait_duration_sec"),
+        ("actual_pickup_lat", "actual_pickup_lat"), ("actual_pickup_lon", "actual_pickup_lon"),
     ),
-    "arr": "arrived_at actual_pickup_duration_sec arrival_delay_sec is_late_arrival",
-    "sta": "started_at rider_wait_duration_sec actual_pickup_lat actual_pickup_lon",
     "com": (
-        "completed_at distance_km duration_sec base_fare distance_fare time_fare surge_amount "
-        "airport_fee toll_amount booking_fee tax_amount total_fare driver_payout "
-        "platform_commission currency dropoff_zone_id>actual_dropoff_zone_id "
-        "traffic_level>trip_traffic_level weather_code>trip_weather_code "
-        "payment_method>charged_payment_method"
+        ("completed_at", "completed_at"), ("distance_km", "distance_km"),
+        ("duration_sec", "duration_sec"), ("base_fare", "base_fare"),
+        ("distance_fare", "distance_fare"), ("time_fare", "time_fare"),
+        ("surge_amount", "surge_amount"), ("airport_fee", "airport_fee"),
+        ("toll_amount", "toll_amount"), ("booking_fee", "booking_fee"),
+        ("tax_amount", "tax_amount"), ("total_fare", "total_fare"),
+        ("driver_payout", "driver_payout"), ("platform_commission", "platform_commission"),
+        ("currency", "currency"), ("dropoff_zone_id", "actual_dropoff_zone_id"),
+        ("traffic_level", "trip_traffic_level"), ("weather_code", "trip_weather_code"),
+        ("payment_method", "charged_payment_method"),
     ),
     "can": (
-        "cancelled_at cancelled_by cancellation_reason_code cancelled_at_status "
-        "seconds_since_request cancellation_fee is_fee_charged is_driver_fault"
+        ("cancelled_at", "cancelled_at"), ("cancelled_by", "cancelled_by"),
+        ("cancellation_reason_code", "cancellation_reason_code"),
+        ("cancelled_at_status", "cancelled_at_status"),
+        ("seconds_since_request", "seconds_since_request"),
+        ("cancellation_fee", "cancellation_fee"), ("is_fee_charged", "is_fee_charged"),
+        ("is_driver_fault", "is_driver_fault"),
+    ),
+    "pay": (
+        ("paid_at", "paid_at"), ("payment_id", "payment_id"),
+        ("attempt_number", "payment_attempt_number"),
     ),
-    "pay": "paid_at payment_id attempt_number>payment_attempt_number",
 }
 
 # The first event holding a value wins, in this order.
 _RIDER_FROM = ("req", "acc", "arr", "sta", "com", "can", "pay")
 _DRIVER_FROM = ("acc", "arr", "sta", "com", "pay", "can")
 _CITY_FROM = ("req", "acc", "com", "can")
+# ---- end of fixed values ------------------------------------------------------
 
 
 def event_stats(base: DataFrame) -> DataFrame:
@@ -113,9 +146,9 @@ def assemble_trips(base: DataFrame, horizon: Column | None = None) -> DataFrame:
         F.bool_or(F.col("_role.is_counted") & F.col("is_late_arrival_event")).alias("_any_late"),
     )
     taken = [
-        f"{prefix}.{entry.split('>')[0]} AS {entry.split('>')[-1]}"
-        for prefix, entries in _TAKEN.items()
-        for entry in entries.split()
+        f"{prefix}.{field} AS {column}"
+        for prefix, pairs in _TAKEN.items()
+        for field, column in pairs
     ]
     assembled = grouped.where("_has_attribute").selectExpr(
         "trip_id",

@@ -42,35 +42,43 @@ _TRIP_ROLES = {
                               "traffic_level_id"),
 }
 
+# ---- FIXED VALUES -------------------------------------------------------------
+# Columns of the trip fact, in order.
 _TRIP_COLUMNS = (
     # identity and surrogate keys
-    "trip_id rider_id driver_id vehicle_id city_id vehicle_type_id requested_vehicle_type_id "
-    "customer_tier_id ride_status_id cancelled_at_status_id cancellation_reason_id "
-    "pickup_zone_id dropoff_zone_id actual_dropoff_zone_id driver_pickup_zone_id "
-    "request_weather_id trip_weather_id request_traffic_level_id trip_traffic_level_id "
-    "request_date_id request_time_id request_local_hour "
+    "trip_id", "rider_id", "driver_id", "vehicle_id", "city_id", "vehicle_type_id",
+    "requested_vehicle_type_id", "customer_tier_id", "ride_status_id", "cancelled_at_status_id",
+    "cancellation_reason_id", "pickup_zone_id", "dropoff_zone_id", "actual_dropoff_zone_id",
+    "driver_pickup_zone_id", "request_weather_id", "trip_weather_id",
+    "request_traffic_level_id", "trip_traffic_level_id", "request_date_id", "request_time_id",
+    "request_local_hour",
     # stage times
-    "requested_at accepted_at arrived_at started_at completed_at cancelled_at paid_at "
+    "requested_at", "accepted_at", "arrived_at", "started_at", "completed_at", "cancelled_at",
+    "paid_at",
     # request
-    "pickup_lat pickup_lon dropoff_lat dropoff_lon estimated_fare estimated_distance_km "
-    "estimated_duration_sec surge_multiplier is_airport_pickup is_airport_dropoff promo_code "
-    "device_platform app_version "
+    "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon", "estimated_fare",
+    "estimated_distance_km", "estimated_duration_sec", "surge_multiplier", "is_airport_pickup",
+    "is_airport_dropoff", "promo_code", "device_platform", "app_version",
     # match, pickup, ride
-    "matching_duration_sec eta_to_pickup_sec distance_to_pickup_km driver_rating_at_accept "
-    "dispatch_attempt_number actual_pickup_duration_sec arrival_delay_sec is_late_arrival "
-    "rider_wait_duration_sec actual_pickup_lat actual_pickup_lon distance_km duration_sec "
+    "matching_duration_sec", "eta_to_pickup_sec", "distance_to_pickup_km",
+    "driver_rating_at_accept", "dispatch_attempt_number", "actual_pickup_duration_sec",
+    "arrival_delay_sec", "is_late_arrival", "rider_wait_duration_sec", "actual_pickup_lat",
+    "actual_pickup_lon", "distance_km", "duration_sec",
     # money
-    "base_fare distance_fare time_fare surge_amount airport_fee toll_amount booking_fee "
-    "tax_amount total_fare driver_payout platform_commission currency "
+    "base_fare", "distance_fare", "time_fare", "surge_amount", "airport_fee", "toll_amount",
+    "booking_fee", "tax_amount", "total_fare", "driver_payout", "platform_commission",
+    "currency",
     # cancellation and payment
-    "cancelled_by seconds_since_request cancellation_fee is_fee_charged is_driver_fault "
-    "payment_id payment_attempt_number had_failed_attempts "
+    "cancelled_by", "seconds_since_request", "cancellation_fee", "is_fee_charged",
+    "is_driver_fault", "payment_id", "payment_attempt_number", "had_failed_attempts",
     # derived
-    "is_completed is_cancelled is_paid is_matched is_surge_trip funnel_stage_reached "
-    "total_lifecycle_sec estimate_accuracy_pct distance_accuracy_pct eta_accuracy_pct "
-    "revenue_per_km is_inferred_expired event_count max_lateness_sec had_late_events "
-    "is_sequence_valid has_request_event is_quarantined"
-).split()
+    "is_completed", "is_cancelled", "is_paid", "is_matched", "is_surge_trip",
+    "funnel_stage_reached", "total_lifecycle_sec", "estimate_accuracy_pct",
+    "distance_accuracy_pct", "eta_accuracy_pct", "revenue_per_km", "is_inferred_expired",
+    "event_count", "max_lateness_sec", "had_late_events", "is_sequence_valid",
+    "has_request_event", "is_quarantined",
+)
+# ---- end of fixed values ------------------------------------------------------
 
 _ZONE_ROLES = ("pickup_zone_id", "dropoff_zone_id", "actual_dropoff_zone_id",
                "driver_pickup_zone_id")

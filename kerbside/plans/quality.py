@@ -55,6 +55,7 @@ def _off(left: str, right: str) -> Column:
     return F.abs(F.expr(left) - F.expr(right)) > F.lit(TOLERANCE).cast("decimal(4,2)")
 
 
+# FIXED VALUES: amounts of a completed ride that may be zero but not negative.
 _NEGATIVE = ("base_fare", "distance_fare", "time_fare", "surge_amount", "airport_fee",
              "toll_amount", "tax_amount", "driver_payout", "platform_commission")
 

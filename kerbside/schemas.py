@@ -71,65 +71,77 @@ PRESENCE_EVENT_TYPES = ("DriverOnline", "DriverOffline")
 EVENT_TYPES = TRIP_EVENT_TYPES + PRESENCE_EVENT_TYPES
 
 # ---- FIXED VALUES -------------------------------------------------------------
-# Typed payload columns per event type, as "field:kind". Kinds: text, nullable (empty text
+# Typed payload columns per event type, as (field, kind). Kinds: text, nullable (empty text
 # reads as NULL), int, money decimal(12,2), coord decimal(9,6), bool, ts, dec(p,s).
 
 EVENT_FIELDS = {
     "RideRequested": (
-        "trip_id:text rider_id:text city_id:int requested_at:ts pickup_lat:coord "
-        "pickup_lon:coord pickup_zone_id:int dropoff_lat:coord dropoff_lon:coord "
-        "dropoff_zone_id:int vehicle_type:text estimated_fare:money "
-        "estimated_distance_km:dec(8,2) estimated_duration_sec:int surge_multiplier:dec(4,2) "
-        "payment_method:text customer_tier:text is_airport_pickup:bool is_airport_dropoff:bool "
-        "weather_code:text traffic_level:text promo_code:nullable device_platform:text "
-        "app_version:text"
+        ("trip_id", "text"), ("rider_id", "text"), ("city_id", "int"), ("requested_at", "ts"),
+        ("pickup_lat", "coord"), ("pickup_lon", "coord"), ("pickup_zone_id", "int"),
+        ("dropoff_lat", "coord"), ("dropoff_lon", "coord"), ("dropoff_zone_id", "int"),
+        ("vehicle_type", "text"), ("estimated_fare", "money"),
+        ("estimated_distance_km", "dec(8,2)"), ("estimated_duration_sec", "int"),
+        ("surge_multiplier", "dec(4,2)"), ("payment_method", "text"), ("customer_tier", "text"),
+        ("is_airport_pickup", "bool"), ("is_airport_dropoff", "bool"), ("weather_code", "text"),
+        ("traffic_level", "text"), ("promo_code", "nullable"), ("device_platform", "text"),
+        ("app_version", "text"),
     ),
     "RideAccepted": (
-        "trip_id:text rider_id:text driver_id:text city_id:int accepted_at:ts driver_lat:coord "
-        "driver_lon:coord driver_zone_id:int vehicle_id:text vehicle_type:text "
-        "matching_duration_sec:int eta_to_pickup_sec:int distance_to_pickup_km:dec(8,2) "
-        "driver_rating_at_accept:dec(3,2) dispatch_attempt_number:int"
+        ("trip_id", "text"), ("rider_id", "text"), ("driver_id", "text"), ("city_id", "int"),
+        ("accepted_at", "ts"), ("driver_lat", "coord"), ("driver_lon", "coord"),
+        ("driver_zone_id", "int"), ("vehicle_id", "text"), ("vehicle_type", "text"),
+        ("matching_duration_sec", "int"), ("eta_to_pickup_sec", "int"),
+        ("distance_to_pickup_km", "dec(8,2)"), ("driver_rating_at_accept", "dec(3,2)"),
+        ("dispatch_attempt_number", "int"),
     ),
     "DriverArrived": (
-        "trip_id:text rider_id:text driver_id:text city_id:int arrived_at:ts driver_lat:coord "
-        "driver_lon:coord actual_pickup_duration_sec:int arrival_delay_sec:int "
-        "is_late_arrival:bool"
+        ("trip_id", "text"), ("rider_id", "text"), ("driver_id", "text"), ("city_id", "int"),
+        ("arrived_at", "ts"), ("driver_lat", "coord"), ("driver_lon", "coord"),
+        ("actual_pickup_duration_sec", "int"), ("arrival_delay_sec", "int"),
+        ("is_late_arrival", "bool"),
     ),
     "RideStarted": (
-        "trip_id:text rider_id:text driver_id:text city_id:int started_at:ts "
-        "actual_pickup_lat:coord actual_pickup_lon:coord rider_wait_duration_sec:int "
-        "pickup_zone_id:int"
+        ("trip_id", "text"), ("rider_id", "text"), ("driver_id", "text"), ("city_id", "int"),
+        ("started_at", "ts"), ("actual_pickup_lat", "coord"), ("actual_pickup_lon", "coord"),
+        ("rider_wait_duration_sec", "int"), ("pickup_zone_id", "int"),
     ),
     "RideCompleted": (
-        "trip_id:text rider_id:text driver_id:text city_id:int completed_at:ts "
-        "dropoff_lat:coord dropoff_lon:coord dropoff_zone_id:int distance_km:dec(8,2) "
-        "duration_sec:int base_fare:money distance_fare:money time_fare:money "
-        "surge_multiplier:dec(4,2) surge_amount:money airport_fee:money toll_amount:money "
-        "booking_fee:money tax_amount:money total_fare:money driver_payout:money "
-        "platform_commission:money currency:text traffic_level:text weather_code:text "
-        "payment_method:text"
+        ("trip_id", "text"), ("rider_id", "text"), ("driver_id", "text"), ("city_id", "int"),
+        ("completed_at", "ts"), ("dropoff_lat", "coord"), ("dropoff_lon", "coord"),
+        ("dropoff_zone_id", "int"), ("distance_km", "dec(8,2)"), ("duration_sec", "int"),
+        ("base_fare", "money"), ("distance_fare", "money"), ("time_fare", "money"),
+        ("surge_multiplier", "dec(4,2)"), ("surge_amount", "money"), ("airport_fee", "money"),
+        ("toll_amount", "money"), ("booking_fee", "money"), ("tax_amount", "money"),
+        ("total_fare", "money"), ("driver_payout", "money"), ("platform_commission", "money"),
+        ("currency", "text"), ("traffic_level", "text"), ("weather_code", "text"),
+        ("payment_method", "text"),
     ),
     "RideCancelled": (
-        "trip_id:text rider_id:text driver_id:text city_id:int cancelled_at:ts "
-        "cancelled_by:text cancellation_reason_code:text cancelled_at_status:text "
-        "seconds_since_request:int cancellation_fee:money is_fee_charged:bool "
-        "is_driver_fault:bool currency:text"
+        ("trip_id", "text"), ("rider_id", "text"), ("driver_id", "text"), ("city_id", "int"),
+        ("cancelled_at", "ts"), ("cancelled_by", "text"), ("cancellation_reason_code", "text"),
+        ("cancelled_at_status", "text"), ("seconds_since_request", "int"),
+        ("cancellation_fee", "money"), ("is_fee_charged", "bool"), ("is_driver_fault", "bool"),
+        ("currency", "text"),
     ),
     "PaymentCompleted": (
-        "payment_id:text trip_id:text rider_id:text driver_id:text city_id:int paid_at:ts "
-        "payment_method:text payment_status:text trip_fare:money tip_amount:money "
-        "discount_amount:money amount_charged:money currency:text promo_code:nullable "
-        "attempt_number:int previous_attempt_failure_reason:nullable gateway_reference:text"
+        ("payment_id", "text"), ("trip_id", "text"), ("rider_id", "text"),
+        ("driver_id", "text"), ("city_id", "int"), ("paid_at", "ts"),
+        ("payment_method", "text"), ("payment_status", "text"), ("trip_fare", "money"),
+        ("tip_amount", "money"), ("discount_amount", "money"), ("amount_charged", "money"),
+        ("currency", "text"), ("promo_code", "nullable"), ("attempt_number", "int"),
+        ("previous_attempt_failure_reason", "nullable"), ("gateway_reference", "text"),
     ),
     "DriverOnline": (
-        "session_id:text driver_id:text city_id:int online_at:ts driver_lat:coord "
-        "driver_lon:coord zone_id:int vehicle_id:text vehicle_type:text driver_status:text "
-        "device_platform:text app_version:text"
+        ("session_id", "text"), ("driver_id", "text"), ("city_id", "int"), ("online_at", "ts"),
+        ("driver_lat", "coord"), ("driver_lon", "coord"), ("zone_id", "int"),
+        ("vehicle_id", "text"), ("vehicle_type", "text"), ("driver_status", "text"),
+        ("device_platform", "text"), ("app_version", "text"),
     ),
     "DriverOffline": (
-        "session_id:text driver_id:text city_id:int online_at:ts offline_at:ts "
-        "driver_lat:coord driver_lon:coord zone_id:int session_duration_sec:int "
-        "trips_completed_in_session:int offline_reason:text"
+        ("session_id", "text"), ("driver_id", "text"), ("city_id", "int"), ("online_at", "ts"),
+        ("offline_at", "ts"), ("driver_lat", "coord"), ("driver_lon", "coord"),
+        ("zone_id", "int"), ("session_duration_sec", "int"),
+        ("trips_completed_in_session", "int"), ("offline_reason", "text"),
     ),
 }
 
@@ -138,7 +150,7 @@ EVENT_FIELDS = {
 
 def event_fields(event_type: str) -> list[tuple[str, str]]:
     """(field, kind) pairs of one event type, in order."""
-    return [tuple(entry.split(":", 1)) for entry in EVENT_FIELDS[event_type].split()]
+    return list(EVENT_FIELDS[event_type])
 
 
 def text_schema(fields: list[str]) -> T.StructType:

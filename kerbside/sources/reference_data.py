@@ -9,7 +9,8 @@ from __future__ import annotations
 import csv
 import io
 
-# Declared types per dimension, in column order.
+# ---- FIXED VALUES -------------------------------------------------------------
+# Declared types per dimension, as DDL, in column order.
 DIMENSION_TYPES = {
     "dim_city": (
         "city_id int, city_code string, city_name string, country_code string, region string, "
@@ -75,7 +76,6 @@ DIMENSION_TYPES = {
     ),
 }
 
-# ---- FIXED VALUES -------------------------------------------------------------
 # Lookup tables whose ids, codes and rates must equal the reference's for right results.
 
 DIMENSION_ROWS = {

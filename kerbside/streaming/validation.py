@@ -12,7 +12,6 @@ from kerbside.contract import (
     PAYLOAD_RULES,
     SKEW_TOLERANCE_SECONDS,
     FieldRule,
-    field_rules,
 )
 from kerbside.schemas import EVENT_TYPES, FAMILY_FOR
 
@@ -45,19 +44,19 @@ def _field_check(rule: FieldRule, source: str, label: str) -> str:
             "object": f"startswith({json}, '{{')",
         }[rule.kind]
     ]
-    for name, limit in rule.limits.items():
-        if name in ("gt", "ge", "le"):
-            good.append(f"{number} {dict(gt='>', ge='>=', le='<=')[name]} {limit}D")
-        elif name == "one_of":
-            values = ", ".join(f"'\"{v}\"'" for v in limit.split(","))
-            good = [f"{json} IN ({values})"]
-        elif name == "pattern":
-            inner = limit.removeprefix("^").removesuffix("$")
-            good = [f"{json} RLIKE r'^\"{inner}\"$'"]
-        elif name == "len":
-            low, high = limit.split("..")
-            text = f"length(from_json(concat('[', {json}, ']'), 'array<string>')[0])"
-            good.append(f"{text} >= {low}" + (f" AND {text} <= {high}" if high else ""))
+    for sign, limit in ((">", rule.gt), (">=", rule.ge), ("<=", rule.le)):
+        if limit is not None:
+            good.append(f"{number} {sign} {limit}D")
+    text = f"length(from_json(concat('[', {json}, ']'), 'array<string>')[0])"
+    for sign, limit in ((">=", rule.min_length), ("<=", rule.max_length)):
+        if limit is not None:
+            good.append(f"{text} {sign} {limit}")
+    if rule.one_of is not None:
+        values = ", ".join(f"'\"{v}\"'" for v in rule.one_of)
+        good = [f"{json} IN ({values})"]
+    if rule.pattern is not None:
+        inner = rule.pattern.removeprefix("^").removesuffix("$")
+        good = [f"{json} RLIKE r'^\"{inner}\"$'"]
     ok = f"coalesce({' AND '.join(good)}, false)"
     if rule.nullable:
         ok = f"({json} = 'null' OR {ok})"
@@ -66,7 +65,7 @@ def _field_check(rule: FieldRule, source: str, label: str) -> str:
 
 
 def _key_checks(
-    rules: list[FieldRule], source: str, label: str, known: tuple = ()
+    rules: tuple[FieldRule, ...], source: str, label: str, known: tuple = ()
 ) -> tuple[str, str]:
     keys = f"map_keys({source})"
     required = _list(r.name for r in rules if r.required)
@@ -82,7 +81,7 @@ def _key_checks(
 
 
 def _payload_violation(event_type: str) -> str:
-    rules = field_rules(PAYLOAD_RULES[event_type])
+    rules = PAYLOAD_RULES[event_type]
     checks = [*_key_checks(rules, "body", "payload")]
     checks += [_field_check(r, "body", "payload") for r in rules]
     if event_type == "RideCancelled":
@@ -134,10 +133,9 @@ def validate(raw: DataFrame) -> DataFrame:
     drift = "unix_micros(ingested_at) - unix_micros(event_timestamp)"
     missing = f"array_except(array({_list(ENVELOPE_FIELDS)}), map_keys(head))"
     version = "try_element_at(head, 'event_version')"
-    envelope_rules = field_rules(ENVELOPE_RULES)
     envelope = ", ".join(
-        [_key_checks(envelope_rules, "head", "envelope", ("event_type",))[1]]
-        + [_field_check(r, "head", "envelope") for r in envelope_rules]
+        [_key_checks(ENVELOPE_RULES, "head", "envelope", ("event_type",))[1]]
+        + [_field_check(r, "head", "envelope") for r in ENVELOPE_RULES]
     )
     payload = " ".join(f"WHEN '{t}' THEN {_payload_violation(t)}" for t in EVENT_TYPES)
 
