@@ -99,11 +99,33 @@ register("demand_buckets", query(_DEMAND, "trips"))(_demand)
 register("supply_buckets", query(_SUPPLY, "trips", "ses"))(
     lambda m: M.supply_buckets(_sessions(m), _demand(m))
 )
-register("surge_grid")(lambda m: M.surge_grid(
-    M.supply_buckets(_sessions(m), _demand(m)), m.dims["dim_zone"], m.dims["dim_city"]
-))
 _RAW = ("1.0 + 1.5 * greatest(0.0, demand * 6.0 / greatest(greatest(supply * 1.35, 2.0) * 1.9, 1.0) "
         "- 0.72)")
+# The recurrence, bucket by bucket of a zone; t is the multiplier in tenths, aimed at as x.
+_GRID = f"""
+  SELECT zone_id, bucket, demand, supply,
+    if(is_surge_eligible, cast(t AS double) / 10, 1.0::double) AS multiplier
+  FROM (
+    WITH RECURSIVE steps AS (
+      SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY bucket) AS n,
+        cast({_RAW} AS decimal(20,10)) AS raw, cast(max_surge_multiplier * 10 AS int) AS top
+      FROM ({_SUPPLY}) JOIN dim_zone USING (zone_id) JOIN dim_city USING (city_id)),
+    grid AS (
+      SELECT zone_id, n, bucket, demand, supply, is_surge_eligible,
+        {{first}} AS t FROM (SELECT *, least(greatest(raw * 10, 10), top) AS x FROM steps
+                           WHERE n = 1)
+      UNION ALL
+      SELECT zone_id, n, bucket, demand, supply, is_surge_eligible, {{first}} AS t
+      FROM (SELECT s.*, least(greatest(
+              cast(g.t + 0.35 * (s.raw * 10 - g.t) AS decimal(30,12)), 10), s.top) AS x
+            FROM grid g JOIN steps s ON s.zone_id = g.zone_id AND s.n = g.n + 1))
+    SELECT * FROM grid)""".replace("{first}", """
+        cast(CASE WHEN demand < 3 THEN 10 WHEN x - floor(x) = 0.5 THEN floor(x) + floor(x) % 2
+             ELSE floor(x + 0.5) END AS int)""")
+register("surge_grid", query(_GRID, "trips", "ses", "dim_zone", "dim_city"))(
+    lambda m: M.surge_grid(M.supply_buckets(_sessions(m), _demand(m)), m.dims["dim_zone"],
+                           m.dims["dim_city"])
+)
 register(
     "raw_surge",
     query(f"SELECT zone_id, bucket, round({_RAW}, 6) AS raw FROM ({_SUPPLY})", "trips", "ses"),

@@ -180,10 +180,11 @@ register(
 )(lambda m: Q.dangling_causation(m.base))
 register(
     "rule_causal_order",
-    query("SELECT b.event_id, b.causation_id, b.event_timestamp, p.event_timestamp AS caused_at "
-          "FROM base b JOIN base p ON p.event_id = b.causation_id WHERE "
-          "b.event_timestamp < p.event_timestamp OR b.event_id = b.causation_id "
-          "OR p.causation_id = b.event_id", "base"),
+    query("SELECT b.event_id, b.causation_id, b.event_timestamp, p.event_timestamp AS caused_at, "
+          "if(b.event_id = b.causation_id, 'own_cause', if(b.event_timestamp = "
+          "p.event_timestamp, 'at_cause', 'before_cause')) AS issue "
+          "FROM base b JOIN base p ON p.event_id = b.causation_id "
+          "WHERE b.event_timestamp <= p.event_timestamp", "base"),
 )(lambda m: Q.causal_order(m.base))
 register(
     "rule_airport_fee",

@@ -58,11 +58,11 @@ def keys_only(df: DataFrame, keys: DataFrame, on: str, present: bool = True) ->
 
 
 def key_difference(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Keys on one side only, with the side; NULL keys are reported on their own."""
+    """Keys on one side only, with the side; each row with a NULL key is reported."""
     left_keys, right_keys = left.select(on).distinct(), right.select(on).distinct()
     missing = left_keys.where(F.col(on).isNotNull()).join(right_keys, on, "left_anti")
     extra = right_keys.where(F.col(on).isNotNull()).join(left_keys, on, "left_anti")
-    nulls = left.where(F.col(on).isNull()).select(on).limit(1)
+    nulls = left.where(F.col(on).isNull()).select(on)
     return (
         missing.withColumn("issue", F.lit("missing_from_right"))
         .unionByName(extra.withColumn("issue", F.lit("not_in_left")))

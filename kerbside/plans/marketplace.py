@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_EVEN, Decimal
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,44 +186,34 @@ def surge_grid(
     by_bucket = Window.partitionBy("zone_id").orderBy("bucket")
     quiet = F.col("demand") < MIN_DEMAND
     rows = supplied.join(caps, "zone_id").select(
-        "zone_id", "bucket", "demand", "supply", "is_surge_eligible", "max_surge_multiplier",
-        raw_surge(weather).cast("decimal(20,10)").alias("raw"), quiet.alias("quiet"),
+        "zone_id", "bucket", "demand", "supply", "is_surge_eligible",
+        F.col("max_surge_multiplier").alias("cap"), quiet.alias("quiet"),
+        raw_surge(weather).cast("decimal(20,10)").alias("raw"),
         F.sum(quiet.cast("int")).over(by_bucket).alias("run"),
     )
-    steps = rows.groupBy("zone_id", "run", "is_surge_eligible", "max_surge_multiplier").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "demand", "supply", "raw", "quiet"))).alias(
-            "steps")
-    )
-    # Prior NULL means no earlier bucket in the zone; quiet buckets hand on the floor.
-    folded = steps.withColumn("grid", F.expr(f"""
-      aggregate(
-        steps,
-        named_struct('prior', cast(NULL AS decimal(4,1)),
-          'grid', cast(array() AS array<struct<bucket:bigint,demand:bigint,supply:bigint,multiplier:decimal(4,1)>>)),
-        (acc, s) -> named_struct(
-          'prior', {_next('acc', 's')},
-          'grid', concat(acc.grid, array(named_struct('bucket', s.bucket, 'demand', s.demand,
-            'supply', s.supply, 'multiplier', {_next('acc', 's')})))),
-        acc -> acc.grid)"""))
-    out = folded.select("zone_id", "is_surge_eligible", F.explode("grid").alias("g"))
-    return out.select(
-        "zone_id", "g.bucket", "g.demand", "g.supply",
-        F.when(F.col("is_surge_eligible"), F.col("g.multiplier"))
+    # No built-in function carries a value from row to row; the calendar bounds a run.
+    smoothed = rows.groupBy("zone_id", "run").applyInPandas(
+        _smooth_run, "zone_id int, bucket long, demand long, supply long, is_surge_eligible "
+        "boolean, multiplier decimal(4,1)")
+    return smoothed.select(
+        "zone_id", "bucket", "demand", "supply",
+        F.when(F.col("is_surge_eligible"), F.col("multiplier"))
         .otherwise(F.lit(FLOOR).cast("decimal(4,1)")).alias("multiplier"),
     )
 
 
-def _next(acc: str, step: str) -> str:
-    """SQL of one smoothing step; half-even rounding to tenths."""
-    smooth = (
-        f"CASE WHEN {acc}.prior IS NULL THEN {step}.raw ELSE "
-        f"{acc}.prior + {SMOOTHING}BD * ({step}.raw - {acc}.prior) END"
-    )
-    capped = f"least(greatest({smooth}, {FLOOR}BD), max_surge_multiplier)"
-    stepped = f"least(greatest(bround({capped}, 1), {FLOOR}BD), max_surge_multiplier)"
-    return (
-        f"cast(CASE WHEN {step}.quiet THEN {FLOOR}BD ELSE {stepped} END AS decimal(4,1))"
-    )
+def _smooth_run(run: pd.DataFrame) -> pd.DataFrame:
+    """Multipliers of one run between resets; half-even rounding to tenths."""
+    floor, weight, tenth = Decimal(FLOOR), Decimal(SMOOTHING), Decimal("0.1")
+    run = run.sort_values("bucket")
+    prior, found = None, []
+    for raw, quiet, cap in zip(run["raw"], run["quiet"], run["cap"]):
+        aimed = raw if prior is None else prior + weight * (raw - prior)
+        step = min(max(aimed, floor), cap).quantize(tenth, ROUND_HALF_EVEN)
+        prior = floor if quiet else min(max(step, floor), cap)
+        found.append(prior)
+    run["multiplier"] = found
+    return run[["zone_id", "bucket", "demand", "supply", "is_surge_eligible", "multiplier"]]
 
 
 # ---- profiles -------------------------------------------------------------------

@@ -254,22 +254,23 @@ def dangling_causation(base: DataFrame) -> DataFrame:
 
 
 def causal_order(base: DataFrame) -> DataFrame:
-    """Events earlier than their cause, or their own cause.
+    """Events not later than their cause, with the issue: before it, at its time, or their own.
 
-    With every cause strictly no later and no event causing itself, a cycle could only run
-    through equal times; those pairs are reported as well.
+    Where every cause is strictly earlier no cycle is possible, so a cycle of any length has
+    at least one reported event.
     """
     causes = base.select(
         F.col("event_id").alias("causation_id"), F.col("event_timestamp").alias("caused_at"),
-        F.col("causation_id").alias("cause_of_cause"),
     )
     joined = base.where(F.col("causation_id").isNotNull()).join(causes, "causation_id")
-    back = F.col("event_timestamp") < F.col("caused_at")
-    own = F.col("event_id") == F.col("causation_id")
-    mutual = F.coalesce(F.col("cause_of_cause") == F.col("event_id"), F.lit(False))
-    return joined.where(back | own | mutual).select(
-        "event_id", "causation_id", "event_timestamp", "caused_at"
+    issue = (
+        F.when(F.col("event_id") == F.col("causation_id"), "own_cause")
+        .when(F.col("event_timestamp") < F.col("caused_at"), "before_cause")
+        .when(F.col("event_timestamp") == F.col("caused_at"), "at_cause")
     )
+    return joined.select(
+        "event_id", "causation_id", "event_timestamp", "caused_at", issue.alias("issue")
+    ).where(F.col("issue").isNotNull())
 
 
 def airport_fee_only_on_airport_trips(trips: DataFrame) -> DataFrame:

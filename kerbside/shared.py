@@ -6,6 +6,7 @@ Writing a table cuts lineage durably: losing executors costs a re-read, not a re
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -16,12 +17,18 @@ _fallback: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in `spark.checkpoint.dir`; a temporary one only where it is unset."""
+    """The folder named in `spark.checkpoint.dir`.
+
+    Where it is unset, a session in one process (as in tests) gets a temporary folder; a cluster
+    must name a folder that its executors share.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="kerbside-")
