@@ -29,29 +29,42 @@ from pyspark.sql import functions as F
 from kerbside.llm.common import slices, stored, texts
 
 # FIXED VALUES: elements by their part in a page.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+VOID = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+    "source", "track", "wbr",
+}
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "title", "svg", "select"}
-NEVER = RAW | set("head nav footer aside form button dialog menu object canvas audio video".split())
+NEVER = RAW | {
+    "head", "nav", "footer", "aside", "form", "button", "dialog", "menu", "object", "canvas",
+    "audio", "video",
+}
 MAIN = {"article", "main"}
-BLOCKS = set(
-    "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer "
-    "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody "
-    "tfoot thead tr ul".split()
-)
+BLOCKS = {
+    "address", "article", "aside", "blockquote", "body", "dd", "details", "div", "dl", "dt",
+    "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+    "header", "hgroup", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section",
+    "summary", "table", "tbody", "tfoot", "thead", "tr", "ul",
+}
 # A tag of the left kind ends an open element of the right kinds, up to the nearest container.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-CONTAINERS = set("ul ol dl table tbody thead tfoot article section div main body html td".split())
+CONTAINERS = {
+    "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "article", "section", "div", "main",
+    "body", "html", "td",
+}
 # Words of class, id and role that mark what is not main text.
-ASIDE = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
-    "sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs toolbar masthead footer "
-    "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup "
-    "social share sharing related recommended comment comments disqus replies reply respond "
-    "search login pagination pager widget widgets complementary contentinfo alertdialog".split()
-)
+ASIDE = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored",
+    "promo", "promotion", "banner", "sidebar", "sidenav", "menu", "nav", "navbar",
+    "navigation", "breadcrumb", "breadcrumbs", "toolbar", "masthead", "footer", "cookie",
+    "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay",
+    "newsletter", "subscribe", "signup", "social", "share", "sharing", "related",
+    "recommended", "comment", "comments", "disqus", "replies", "reply", "respond", "search",
+    "login", "pagination", "pager", "widget", "widgets", "complementary", "contentinfo",
+    "alertdialog",
+}
 
 # Elements nested deeper count as their parent's texts.
 DEEPEST = 200
