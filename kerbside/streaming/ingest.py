@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,15 +38,17 @@ def ingest_batch(
     # Streaming turns adaptive execution off; the landing write needs it to split large hours.
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     now = clock()
+    landed, dead = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
     validated = validate(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid, rejected = split(validated)
-        write_landing(dedup_batch(valid), paths.landing, now, paths.layout)
-        dead_letter_rows(rejected, group, now).write.partitionBy("topic").mode("append").parquet(
-            paths.dead_letters
-        )
+        write_landing(dedup_batch(valid).observe(landed, rows), paths.landing, now, paths.layout)
+        dead_letter_rows(rejected, group, now).observe(dead, rows).write.partitionBy(
+            "topic").mode("append").parquet(paths.dead_letters)
         if paths.report:
-            reconcile_ingest(validated).select(
+            written = [seen.get.get("rows", 0) for seen in (landed, dead)]
+            reconcile_ingest(validated, *written).select(
                 F.lit(batch_id).alias("batch_id"), F.lit(now).alias("landed_at"), "*"
             ).coalesce(1).write.mode("append").parquet(paths.report)
     finally:

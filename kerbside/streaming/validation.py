@@ -208,10 +208,14 @@ def rejections_by_reason(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("rejections"))
 
 
-def reconcile_ingest(validated: DataFrame) -> DataFrame:
+def reconcile_ingest(
+    validated: DataFrame, landed: int | None = None, rejected: int | None = None
+) -> DataFrame:
     """Polled against landed + rejected + duplicates dropped, from one pass per key.
 
     Copies are counted per event id; each id lands once and its other copies are dropped.
+    `landed` and `rejected` are the rows that were written; without them the rows that should
+    be written stand in, and only the counts are of interest.
     """
     per_id = validated.groupBy(
         F.col("reason").isNull().alias("is_valid"),
@@ -224,7 +228,10 @@ def reconcile_ingest(validated: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("copies") - 1)), F.lit(0)).alias(
             "duplicates_dropped"
         ),
-    ).withColumn(
+    ).withColumns({
+        name: F.lit(written).cast("bigint")
+        for name, written in (("landed", landed), ("rejected", rejected)) if written is not None
+    }).withColumn(
         "reconciles",
         F.col("polled") == F.col("landed") + F.col("rejected") + F.col("duplicates_dropped"),
     )

@@ -101,3 +101,23 @@ def test_reconciles(judged):
     row = reconcile_ingest(judged).first()
     assert row["reconciles"] and row["polled"] == len(CASES)
     assert row["landed"] == 1 and row["duplicates_dropped"] > 0
+
+
+def test_a_lost_row_does_not_reconcile(judged):
+    whole = reconcile_ingest(judged).first()
+    kept = reconcile_ingest(judged, whole["landed"], whole["rejected"]).first()
+    lost = reconcile_ingest(judged, whole["landed"] - 1, whole["rejected"]).first()
+    assert kept["reconciles"] and not lost["reconciles"]
+
+
+def test_batches_report_what_was_written(spark, tmp_path):
+    from kerbside.schemas import RAW_MESSAGE
+    from kerbside.streaming.ingest import IngestPaths, ingest_batch
+
+    paths = IngestPaths(f"{tmp_path}/l", f"{tmp_path}/d", f"{tmp_path}/c", f"{tmp_path}/r")
+    bad = (b"k", b"{", "trips.events.v1", 0, 1, [])
+    for number, batch in enumerate(([], [bad, bad])):
+        ingest_batch(spark.createDataFrame(batch, RAW_MESSAGE), paths, number)
+    got = {r["batch_id"]: (r["polled"], r["landed"], r["rejected"], r["reconciles"])
+           for r in spark.read.parquet(paths.report).collect()}
+    assert got == {0: (0, 0, 0, True), 1: (2, 0, 2, True)}
