@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import safe_pct
-from kerbside.operators.running import hot_keys
+from kerbside.operators.running import BUCKET_SECONDS, hot_keys
 
 
 def scd2(
@@ -16,36 +14,43 @@ def scd2(
 ) -> DataFrame:
     """One row per key and run of unchanged attributes, valid from its first observation.
 
-    A key owning a large share of the history is first thinned to the change points inside
-    each hour, so its single ordered pass sees changes and hour edges, not every row.
+    A key with very many observations is cut into time buckets: each bucket gets the last
+    state before it and the first change after it, so no task receives all rows of the key.
     """
-    hot = F.broadcast(hot_keys(history, key))
-    ordinary = history.join(hot, key, "left_anti")
-    thinned = _changes(
-        history.join(hot, key, "left_semi").withColumn("_hour", F.date_trunc("hour", F.col(ts))),
-        [key, "_hour"], attrs, ts, tie,
-    ).drop("_hour")
-    changes = _changes(ordinary.unionByName(thinned), [key], attrs, ts, tie)
-    following = Window.partitionBy(key).orderBy(ts, tie)
-    return changes.select(
-        key, *attrs,
-        F.col(ts).alias("valid_from"),
-        F.lead(ts).over(following).alias("valid_to"),
-        F.lead(ts).over(following).isNull().alias("is_current"),
+    rows = history.select(key, ts, tie, F.struct(*attrs).alias("_state"))
+    hot = F.broadcast(hot_keys(rows, key))
+    ordinary = _versions(rows.join(hot, key, "left_anti"), key, ts, tie)
+    large = _versions_by_bucket(rows.join(hot, key, "left_semi"), key, ts, tie)
+    return ordinary.unionByName(large).select(
+        key, *[F.col(f"_state.{a}").alias(a) for a in attrs],
+        F.col(ts).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"),
     )
 
 
-def _changes(df: DataFrame, keys: list[str], attrs: list[str], ts: str, tie: str) -> DataFrame:
-    """First row per key and every row whose attributes differ from the row before."""
-    order = Window.partitionBy(*keys).orderBy(ts, tie)
-    before = df.select(
-        "*", F.row_number().over(order).alias("_r"),
-        *[F.lag(a).over(order).alias(f"_old_{a}") for a in attrs],
-    )
-    changed = reduce(
-        lambda x, y: x | y, [~F.col(a).eqNullSafe(F.col(f"_old_{a}")) for a in attrs]
-    )
-    return before.where((F.col("_r") == 1) | changed).select(*df.columns)
+def _versions(rows: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    """(key, ts, _state, valid_to) of every row whose state differs from the row before."""
+    order = Window.partitionBy(key).orderBy(ts, tie)
+    # A state is never NULL, so a NULL before it means that the row is the key's first.
+    before = rows.withColumn("_before", F.lag("_state").over(order))
+    changes = before.where(~F.col("_state").eqNullSafe(F.col("_before")))
+    return changes.select(key, ts, "_state", F.lead(ts).over(order).alias("valid_to"))
+
+
+def _versions_by_bucket(rows: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    """The same, with windows over a bucket's rows and over one row per bucket only."""
+    rows = rows.withColumn("_bucket", F.floor(F.unix_seconds(ts) / F.lit(BUCKET_SECONDS)))
+    bucket, inside = [key, "_bucket"], Window.partitionBy(key, "_bucket").orderBy(ts, tie)
+    across = Window.partitionBy(key).orderBy("_bucket")
+    last = rows.groupBy(*bucket).agg(F.max_by("_state", F.struct(ts, tie)).alias("_last"))
+    carried = last.select(*bucket, F.lag("_last").over(across).alias("_carried"))
+    before = rows.withColumn("_before", F.lag("_state").over(inside)).join(carried, bucket)
+    changes = before.where(
+        ~F.col("_state").eqNullSafe(F.coalesce("_before", "_carried"))
+    ).select(*bucket, ts, tie, "_state")
+    first = changes.groupBy(*bucket).agg(F.min(ts).alias("_first"))
+    following = first.select(*bucket, F.lead("_first").over(across).alias("_next"))
+    return changes.withColumn("_later", F.lead(ts).over(inside)).join(following, bucket).select(
+        key, ts, "_state", F.coalesce("_later", "_next").alias("valid_to"))
 
 
 def dim_driver_versions(trips: DataFrame) -> DataFrame:
