@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kerbside.llm import queries as Q
-from kerbside.llm import simhash, toxicity
+from kerbside.llm import near_copies, simhash, toxicity
 from kerbside.llm.common import table
 
 
@@ -63,3 +63,38 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
             docs = spark.read.parquet(f"{tmp_path}/{k}/{name}")
         assert (docs.count() > 0) == bool(rows)
     assert docs.where(F.col("offset") < 0).count() == 0
+
+
+def test_simhash_stage_keeps_one_of_each_group_at_jaccard_080(spark):
+    """Against brute force over 5-word shingles, rows without an id aside."""
+    from test_operators import brute_components
+
+    rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    base = [f"w{n * n % 1009}" for n in range(200)]
+    for k in range(60):  # near copies with two to seven changed words, at 0.7 to 0.9
+        text = list(base)
+        for n in range(k % 6 + 2):
+            text[(17 * k + 29 * n) % 200] = f"x{k}y{n}"
+        rows.append((1_000_000 + k, " ".join(text)))
+    rows += [(2_000_000, ""), (2_000_001, None), (2_000_002, "a b"), (2_000_003, "A  b")]
+    grams = {}
+    for i, text in rows:
+        found = (text or "").encode().lower().split()
+        grams[i] = {tuple(found[k : k + 5]) for k in range(max(len(found) - 4, bool(found)))}
+
+    def near(a, b):
+        x, y = grams[a], grams[b]
+        small, large = sorted((len(x), len(y)))
+        return 5 * small >= 4 * large and 5 * len(x & y) >= 4 * len(x | y)
+
+    want = set(brute_components(sorted(grams), near).values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block, common in ((2_048, 100_000), (8, 0)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(near_copies, "BLOCK", block)
+            patch.setattr(near_copies, "COMMON", common)
+            patch.setattr(near_copies, "SAMPLE", 1)
+            got = corpus_pipeline.simhash_stage(spark, docs, SF)
+            assert {r.doc_id for r in got.collect()} == want
+    old = simhash.near_duplicates(docs).where("doc_id = component_id").count()
+    assert len(want) < old  # the 3-bit links of op2 leave near copies
