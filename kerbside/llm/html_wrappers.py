@@ -65,6 +65,14 @@ ASIDE = {
     "login", "pagination", "pager", "widget", "widgets", "complementary", "contentinfo",
     "alertdialog",
 }
+# Words that say nothing about the part: a name of these and at least one of ASIDE marks an aside.
+NEUTRAL = {
+    "area", "bar", "block", "body", "bottom", "box", "container", "content", "form", "global",
+    "group", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "page",
+    "panel", "primary", "right", "section", "site", "slot", "top", "unit", "wrap", "wrapper",
+}
+# Never an aside by name, nor is what holds one of them.
+HOLDS = {"html", "body", "article", "main"}
 
 # Elements nested deeper count as their parent's texts.
 DEEPEST = 200
@@ -72,8 +80,7 @@ DEEPEST = 200
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.DOTALL)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
-                        re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -82,7 +89,8 @@ class Node:
     """An element, or a text (`label` is '#'). As a wrapper part it may be a group."""
 
     label: str
-    aside: bool = False
+    aside: bool = False  # by its tag or as hidden
+    named: bool = False  # an aside by its names, if the host's wrapper confirms it
     text: str | None = None  # of texts; None is a slot
     children: list[Node] = field(default_factory=list)
     optional: bool = False
@@ -90,19 +98,29 @@ class Node:
     size: int = 0  # characters of text
 
 
-def _attributes(raw: str) -> tuple[str, bool]:
-    """The naming attributes as a label, and whether they mark an aside."""
-    label, aside = "", False
+def _attributes(raw: str) -> tuple[str, bool, bool]:
+    """The naming attributes as a label, whether the element is hidden, and named as an aside."""
+    label, hidden, named = "", False, False
     if raw and not raw.isspace():
+        seen = set()
         for name, value in _ATTRIBUTE.findall(raw):
             name, value = name.lower(), value.strip("\"'")
-            if name == "hidden" or name == "aria-hidden":
-                aside |= name == "hidden" or value == "true"
+            if name in seen:  # the first of a name counts
                 continue
-            if name != "id":
-                label += f".{value}"
-            aside |= any(p.lower() in ASIDE for p in _PART.findall(value))
-    return label, aside
+            seen.add(name)
+            if name == "hidden" or name == "aria-hidden":
+                hidden |= name == "hidden" or value.lower() == "true"
+            elif name in ("class", "id", "role"):
+                if name != "id":
+                    label += f".{value}"
+                named |= any(map(_marks, value.split()))
+    return label, hidden, named
+
+
+def _marks(name: str) -> bool:
+    """Whether a class, id or role names an aside: by all of its words, neutral ones aside."""
+    parts = {p.lower() for p in _PART.findall(name)}
+    return bool(parts & ASIDE) and parts <= ASIDE | NEUTRAL
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -153,12 +171,16 @@ def parse(page: str) -> Node:
                 break
             if name in CONTAINERS:
                 break
-        label, aside = _attributes(value)
+        label, aside, named = _attributes(value)
         parent = path[-1]
+        if tag in HOLDS:
+            named = False
+            for above in path:
+                above.named = False
         aside |= tag in NEVER or tag == "header" and not any(_tag(n.label) in MAIN for n in path)
         if len(path) > DEEPEST and (not aside or any(n.aside for n in path)):
             continue  # its texts go to the parent
-        node = Node(tag + label, aside=aside)
+        node = Node(tag + label, aside, named)
         parent.children.append(node)
         path.append(node)
     return root
@@ -170,7 +192,7 @@ def _tag(label: str) -> str:
 
 def fold(node: Node) -> Node:
     """A wrapper of one page: neighbours of one kind become one repeated group."""
-    out = Node(node.label, node.aside, node.text, size=node.size)
+    out = Node(node.label, node.aside, node.named, node.text, size=node.size)
     for child in node.children:
         if child.label == "#" and child.text.isspace():
             continue
@@ -208,7 +230,7 @@ def _pairs(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
 
 def _merge(a: Node, b: Node) -> Node:
     """The wrapper of both: slots for differing texts, optional and repeated groups."""
-    out = Node(a.label, a.aside and b.aside, a.text if a.text == b.text else None,
+    out = Node(a.label, a.aside and b.aside, a.named and b.named, a.text if a.text == b.text else None,
                optional=a.optional or b.optional, repeated=a.repeated or b.repeated,
                size=a.size + b.size)
 
@@ -247,6 +269,31 @@ def expression(node: Node) -> str:
     return body
 
 
+def confirmed(node: Node) -> bool:
+    """Whether the host's pages agree with an aside's name: it repeats, or its texts are constant."""
+    if node.repeated:
+        return True
+    if node.label == "#":
+        return node.text is not None
+    return any(c.repeated for c in node.children) or all(map(confirmed, node.children))
+
+
+def unconfirmed(wrapper: Node) -> list[str]:
+    """Paths of elements named as asides that the wrapper does not confirm: their text stays."""
+    out: list[str] = []
+
+    def search(node: Node, path: str) -> None:
+        for child in node.children:
+            if child.label != "#":
+                here = f"{path}/{child.label}"
+                if child.named and not confirmed(child):
+                    out.append(here)
+                search(child, here)
+
+    search(wrapper, "")
+    return out
+
+
 def regions(wrapper: Node) -> list[str]:
     """Paths of the wrapper's elements that hold the main text.
 
@@ -257,7 +304,7 @@ def regions(wrapper: Node) -> list[str]:
 
     def search(node: Node, path: str) -> None:
         for child in node.children:
-            if child.label == "#" or child.aside:
+            if child.label == "#" or child.aside or child.named and confirmed(child):
                 continue
             here = f"{path}/{child.label}"
             if _tag(child.label) in MAIN:
@@ -270,7 +317,7 @@ def regions(wrapper: Node) -> list[str]:
         return named
 
     def weight(node: Node) -> int:
-        if node.aside:
+        if node.aside or node.named and confirmed(node):
             return 0
         return node.size if node.label == "#" else sum(map(weight, node.children))
 
@@ -284,8 +331,12 @@ def regions(wrapper: Node) -> list[str]:
         node, path = most[1], f"{path}/{most[1].label}"
 
 
-def extract(page: str, main: list[str]) -> str:
-    """The blocks of the main regions, in page order, joined by newlines."""
+def extract(page: str, main: list[str], stays: Iterable[str] = ()) -> str:
+    """The blocks of the main regions, in page order, joined by newlines.
+
+    `stays` are paths of elements whose names mark an aside that the host does not confirm.
+    """
+    stays = set(stays)
     root = parse(page)
     blocks: list[str] = []
     open_block: list[str] = []
@@ -296,37 +347,43 @@ def extract(page: str, main: list[str]) -> str:
             blocks.append(text)
         open_block.clear()
 
-    def read(node: Node) -> None:
+    def skipped(node: Node, path: str) -> bool:
+        return node.aside or node.named and path not in stays
+
+    def read(node: Node, path: str) -> None:
         for child in node.children:
             if child.label == "#":
                 open_block.append(child.text)
-            elif not child.aside:
+                continue
+            here = f"{path}/{child.label}"
+            if not skipped(child, here):
                 tag = _tag(child.label)
                 if tag in BLOCKS:
                     end()
-                    read(child)
+                    read(child, here)
                     end()
                 elif tag in ("br", "td", "th"):
                     open_block.append(" ")
-                    read(child)
+                    read(child, here)
                 else:
-                    read(child)
+                    read(child, here)
 
     def find(node: Node, path: str) -> bool:
         if path in wanted:
             end()
-            read(node)
+            read(node, path)
             end()
             return True
         found = False
         for child in node.children:
-            if child.label != "#" and not child.aside:
-                found |= find(child, f"{path}/{child.label}")
+            here = f"{path}/{child.label}"
+            if child.label != "#" and not skipped(child, here):
+                found |= find(child, here)
         return found
 
     wanted = set(main)
     if not wanted or not find(root, ""):
-        read(root)
+        read(root, "")
         end()
     return "\n".join(blocks)
 
@@ -335,13 +392,13 @@ def extract(page: str, main: list[str]) -> str:
 
 
 def _pack(node: Node) -> list:
-    return [node.label, node.aside, node.text, node.optional, node.repeated, node.size,
+    return [node.label, node.aside, node.named, node.text, node.optional, node.repeated, node.size,
             [_pack(c) for c in node.children]]
 
 
 def _unpack(row: list) -> Node:
-    label, aside, text, optional, repeated, size, children = row
-    return Node(label, aside, text, [_unpack(c) for c in children], optional, repeated, size)
+    label, aside, named, text, optional, repeated, size, children = row
+    return Node(label, aside, named, text, [_unpack(c) for c in children], optional, repeated, size)
 
 
 def host_of(url: Column) -> Column:
@@ -350,14 +407,15 @@ def host_of(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, regions): the inferred wrapper of every host."""
+    """(host, wrapper, regions, stays): the inferred wrapper of every host."""
 
     def emit(known: dict[str, Node], final: bool) -> Iterator[pa.RecordBatch]:
         hosts = list(known)
         if final:
             columns = [pa.array([expression(known[h]) for h in hosts], pa.string()),
-                       pa.array([regions(known[h]) for h in hosts], pa.list_(pa.string()))]
-            names = ["host", "wrapper", "regions"]
+                       pa.array([regions(known[h]) for h in hosts], pa.list_(pa.string())),
+                       pa.array([unconfirmed(known[h]) for h in hosts], pa.list_(pa.string()))]
+            names = ["host", "wrapper", "regions", "stays"]
         else:
             columns = [pa.array([json.dumps(_pack(known[h])) for h in hosts], pa.string())]
             names = ["host", "part"]
@@ -393,13 +451,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
         infer, "host string, part string")
     return (
         stored(parts, "wrapper-parts").repartition("host").sortWithinPartitions("host", "part")
-        .mapInArrow(align, "host string, wrapper string, regions array<string>")
+        .mapInArrow(align, "host string, wrapper string, regions array<string>, stays array<string>")
     )
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, text): the main text of every page by its host's wrapper."""
-    named = stored(wrappers(pages), "wrappers").select("host", "regions")
+    named = stored(wrappers(pages), "wrappers").select("host", "regions", "stays")
     # Spark broadcasts the written wrappers if their size allows it, and joins by host otherwise.
     source = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html",
@@ -409,8 +467,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             regions_ = batch.column("regions").to_pylist()
-            found = [extract(page, main or [])
-                     for page, main in zip(texts(batch, "html"), regions_, strict=True)]
+            stays = batch.column("stays").to_pylist()
+            found = [extract(page, main or [], kept or [])
+                     for page, main, kept in zip(texts(batch, "html"), regions_, stays, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("host"),
                  pa.array(found, pa.string())], ["page_id", "url", "host", "text"])

@@ -582,6 +582,34 @@ def test_wrappers_generalise_by_alignment(spark):
         '<body> <h1> "News" </h1> ( <p> "ad" </p> )? <ul> ( <li> # </li> )+ </ul> </body>')
 
 
+def extracted(*pages):
+    """The main texts of pages of one host, without Spark."""
+    from functools import reduce
+
+    trees = [html_wrappers.fold(html_wrappers.parse(p)) for p in pages]
+    whole = reduce(html_wrappers._merge, trees)
+    found = html_wrappers.regions(whole), html_wrappers.unconfirmed(whole)
+    return [html_wrappers.extract(p, *found) for p in pages]
+
+
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'data-hidden="false"', 'data-id="share-12"', 'class="no-sidebar"',
+    'class="has-sidebar"', 'class="article-with-comments"', 'class="content-search-result"',
+])
+def test_names_that_only_look_like_an_aside(attributes):
+    assert extracted(f"<body><div {attributes}><p>text</p></div></body>") == ["text"]
+    assert extracted(f"<body {attributes}><p>text</p></body>") == ["text"]
+    assert extracted(f"<div hidden><p>no</p></div><div {attributes}><p>text</p></div>") == ["text"]
+
+
+def test_names_are_confirmed_by_the_host():
+    page = '<body class="sidebar"><div class="widget"><article><p>{}</p></article></div></body>'
+    assert extracted(page.format("a"), page.format("b")) == ["a", "b"]
+    page = '<body><article><p>{0}</p><div class="notice"><p>{1}</p></div></article></body>'
+    assert extracted(page.format("a", "same"), page.format("b", "same")) == ["a", "b"]
+    assert extracted(page.format("a", "own"), page.format("b", "other")) == ["a\nown", "b\nother"]
+
+
 def test_sha_of_kept_text_is_hex(docs):
     got = line_dedup.drop_shared_lines(docs).select(
         F.sha2("kept", 256).alias("h"), "kept").first()
