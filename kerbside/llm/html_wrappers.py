@@ -10,7 +10,8 @@ hold the main text, and each page's text is read from these regions.
 Defined cases: a missing or empty page has the empty text; pages whose url names no host are
 one host ''; a page without its host's regions is read as a whole, less what is never main text;
 broken markup closes at its parent's end;
-elements nested deeper than DEEPEST are read as part of their parent; repeated rows are extracted one by one; columns other
+elements nested deeper than DEEPEST are read as part of
+the element at that depth, each between its own borders; repeated rows are extracted one by one; columns other
 than `page_id`, `url` and `html` are ignored.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -45,6 +47,7 @@ BLOCKS = {
     "header", "hgroup", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section",
     "summary", "table", "tbody", "tfoot", "thead", "tr", "ul",
 }
+SPACED = {"br", "td", "th"}
 # A tag of the left kind ends an open element of the right kinds, up to the nearest container.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -91,6 +94,7 @@ class Node:
     label: str
     aside: bool = False  # by its tag or as hidden
     named: bool = False  # an aside by its names, if the host's wrapper confirms it
+    holds: bool = False  # holds an element of HOLDS
     text: str | None = None  # of texts; None is a slot
     children: list[Node] = field(default_factory=list)
     optional: bool = False
@@ -98,6 +102,16 @@ class Node:
     size: int = 0  # characters of text
 
 
+@dataclass(slots=True)
+class Under:
+    """Where an open element's texts go, and what is above them."""
+
+    node: Node
+    depth: int = 0
+    aside: bool = False
+    main: bool = False
+
+
 def _attributes(raw: str) -> tuple[str, bool, bool]:
     """The naming attributes as a label, whether the element is hidden, and named as an aside."""
     label, hidden, named = "", False, False
@@ -149,40 +163,69 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def parse(page: str) -> Node:
-    """The page's elements as a tree; unclosed ones end with their parent."""
+    """The page's elements as a tree; unclosed ones end with their parent.
+
+    An element below DEEPEST stays on the path, so that its end tag closes it and no other; its
+    texts go to its nearest ancestor in the tree, between borders that stand for its own.
+    """
     root = Node("")
-    path = [root]
+    path, under = [root], [Under(root)]
+    opened: Counter[str] = Counter()
+
+    def border(at: Node, tag: str) -> None:
+        if tag in BLOCKS or tag in SPACED:
+            label = "p" if tag in BLOCKS else "br"
+            last = at.children[-1] if at.children else None
+            if last is None or last.label != label or last.children:
+                at.children.append(Node(label))
+
+    def close(depth: int) -> None:
+        while len(path) > depth:
+            node, place = path.pop(), under.pop()
+            opened[_tag(node.label)] -= 1
+            if place.node is not node:
+                border(place.node, _tag(node.label))
+
     for kind, tag, value in tokens(page):
+        place = under[-1]
         if kind == "text":
-            path[-1].children.append(Node("#", text=html.unescape(value), size=len(value)))
+            place.node.children.append(Node("#", text=html.unescape(value), size=len(value)))
             continue
         if kind == "close":
-            depth = next((d for d in range(len(path) - 1, 0, -1)
-                          if _tag(path[d].label) == tag), 0)
-            if depth:
-                del path[depth:]
+            if opened[tag]:
+                close(next(d for d in range(len(path) - 1, 0, -1) if _tag(path[d].label) == tag))
             continue
         ends = {"p"} if tag in BLOCKS else set()
         ends |= ENDS.get(tag, set())
-        for depth in range(len(path) - 1, 0, -1):
-            name = _tag(path[depth].label)
-            if name in ends:
-                del path[depth:]
-                break
-            if name in CONTAINERS:
-                break
+        if any(opened[e] for e in ends):
+            for depth in range(len(path) - 1, 0, -1):
+                name = _tag(path[depth].label)
+                if name in ends:
+                    close(depth)
+                    break
+                if name in CONTAINERS:
+                    break
         label, aside, named = _attributes(value)
-        parent = path[-1]
+        place = under[-1]
         if tag in HOLDS:
             named = False
-            for above in path:
-                above.named = False
-        aside |= tag in NEVER or tag == "header" and not any(_tag(n.label) in MAIN for n in path)
-        if len(path) > DEEPEST and (not aside or any(n.aside for n in path)):
-            continue  # its texts go to the parent
-        node = Node(tag + label, aside, named)
-        parent.children.append(node)
+            for above in reversed(path):
+                if above.holds:
+                    break
+                above.named, above.holds = False, True
+        aside |= tag in NEVER or tag == "header" and not place.main
+        node = Node(tag + label, aside, named, holds=tag in HOLDS)
+        at = node
+        if place.depth >= DEEPEST and (place.aside or not (aside or named)):
+            at = place.node  # its texts go there
+            border(at, tag)
+        else:
+            place.node.children.append(node)
         path.append(node)
+        under.append(Under(at, place.depth + (at is node), place.aside or aside or named,
+                           place.main or tag in MAIN))
+        opened[tag] += 1
+    close(1)
     return root
 
 
@@ -192,7 +235,7 @@ def _tag(label: str) -> str:
 
 def fold(node: Node) -> Node:
     """A wrapper of one page: neighbours of one kind become one repeated group."""
-    out = Node(node.label, node.aside, node.named, node.text, size=node.size)
+    out = Node(node.label, node.aside, node.named, text=node.text, size=node.size)
     for child in node.children:
         if child.label == "#" and child.text.isspace():
             continue
@@ -230,7 +273,7 @@ def _pairs(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
 
 def _merge(a: Node, b: Node) -> Node:
     """The wrapper of both: slots for differing texts, optional and repeated groups."""
-    out = Node(a.label, a.aside and b.aside, a.named and b.named, a.text if a.text == b.text else None,
+    out = Node(a.label, a.aside and b.aside, a.named and b.named, text=a.text if a.text == b.text else None,
                optional=a.optional or b.optional, repeated=a.repeated or b.repeated,
                size=a.size + b.size)
 
@@ -362,7 +405,7 @@ def extract(page: str, main: list[str], stays: Iterable[str] = ()) -> str:
                     end()
                     read(child, here)
                     end()
-                elif tag in ("br", "td", "th"):
+                elif tag in SPACED:
                     open_block.append(" ")
                     read(child, here)
                 else:
@@ -398,7 +441,7 @@ def _pack(node: Node) -> list:
 
 def _unpack(row: list) -> Node:
     label, aside, named, text, optional, repeated, size, children = row
-    return Node(label, aside, named, text, [_unpack(c) for c in children], optional, repeated, size)
+    return Node(label, aside, named, False, text, [_unpack(c) for c in children], optional, repeated, size)
 
 
 def host_of(url: Column) -> Column:

@@ -610,6 +610,15 @@ def test_names_are_confirmed_by_the_host():
     assert extracted(page.format("a", "own"), page.format("b", "other")) == ["a\nown", "b\nother"]
 
 
+@pytest.mark.parametrize("deep", [10, 199, 200, 201, 1_000, 20_000])
+def test_text_after_deep_blocks_inside_an_article(deep):
+    inside = "<div>" * deep + "<p>foo</p><p>bar</p>x<br>y" + "</div>" * deep
+    page = f"<div><article><p>one</p>{inside}<p>two</p></article><p>not main</p></div>"
+    assert extracted(page) == ["one\nfoo\nbar\nx y\ntwo"]
+    hidden = "<div>" * deep + "<div hidden><p>no</p></div>yes" + "</div>" * deep
+    assert extracted(f"<article>{hidden}<p>two</p></article>") == ["yes\ntwo"]
+
+
 def test_sha_of_kept_text_is_hex(docs):
     got = line_dedup.drop_shared_lines(docs).select(
         F.sha2("kept", 256).alias("h"), "kept").first()
