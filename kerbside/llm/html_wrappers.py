@@ -5,7 +5,8 @@ where they agree the wrapper keeps the token; texts that differ become slots; el
 side lacks become optional groups; neighbours of one kind become a repeated group. Each task folds
 the pages it reads into one wrapper per host, and those few wrappers are aligned with each other,
 so a host with a third of all pages is never one task's work. A wrapper names the regions that
-hold the main text, and each page's text is read from these regions.
+hold the main text and the texts that are constant on the host; of a page, the slots, optional and
+repeated parts of these regions are read, and constant texts are not.
 
 Defined cases: a missing or empty page has the empty text; pages whose url names no host are
 one host ''; a page without its host's regions is read as a whole, less what is never main text;
@@ -17,6 +18,7 @@ than `page_id`, `url` and `html` are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -168,7 +170,8 @@ def parse(page: str) -> Node:
     An element below DEEPEST stays on the path, so that its end tag closes it and no other; its
     texts go to its nearest ancestor in the tree, between borders that stand for its own.
     """
-    root = Node("")
+    # The root's text is the page's digest: None in a wrapper of pages that differ.
+    root = Node("", text=hashlib.sha256(page.encode(errors="replace")).hexdigest())
     path, under = [root], [Under(root)]
     opened: Counter[str] = Counter()
 
@@ -300,6 +303,11 @@ def _merge(a: Node, b: Node) -> Node:
     return out
 
 
+def _together(a: Node, b: Node) -> Node:
+    """The wrapper of both pages; an empty page says nothing of its host."""
+    return _merge(a, b) if a.children and b.children else a if a.children else b
+
+
 def expression(node: Node) -> str:
     """The wrapper as a union-free regular expression over tokens."""
     if node.label == "#":
@@ -340,8 +348,7 @@ def unconfirmed(wrapper: Node) -> list[str]:
 def regions(wrapper: Node) -> list[str]:
     """Paths of the wrapper's elements that hold the main text.
 
-    `article` and `main` elements outside any aside; without one, the deepest element that holds
-    most of the text outside asides.
+    `article` and `main` elements outside any aside; without one, the whole page.
     """
     named: list[str] = []
 
@@ -356,30 +363,40 @@ def regions(wrapper: Node) -> list[str]:
                 search(child, here)
 
     search(wrapper, "")
-    if named:
-        return named
+    return named or [""]
+
+
+def constants(wrapper: Node) -> list[str]:
+    """Paths and texts that every page of the host has: what alignment left neither as a slot nor
+    in an optional group. A wrapper of one page, or of equal ones, tells nothing."""
+    out: set[str] = set()
+    below = [(wrapper, "")] if wrapper.text is None else []
+    while below:
+        node, path = below.pop()
+        for child in node.children:
+            if child.optional:
+                continue
+            if child.label != "#":
+                below.append((child, f"{path}/{child.label}"))
+            elif child.text is not None:
+                out.add(_placed(path, child.text))
+    return sorted(out)
+
 
-    def weight(node: Node) -> int:
-        if node.aside or node.named and confirmed(node):
-            return 0
-        return node.size if node.label == "#" else sum(map(weight, node.children))
+def _placed(path: str, text: str) -> str:
+    return f"{path}\0{text}"
 
-    node, path = wrapper, ""
-    while True:
-        below = [(weight(c), c) for c in node.children if c.label != "#"
-                 and _tag(c.label) in CONTAINERS]
-        most = max(below, key=lambda x: x[0], default=(0, None))
-        if not most[0] or 5 * most[0] < 4 * weight(node):
-            return [path]
-        node, path = most[1], f"{path}/{most[1].label}"
 
+def extract(
+    page: str, main: list[str], stays: Iterable[str] = (), constant: Iterable[str] = ()
+) -> str:
+    """The slots, optional and repeated parts of the main regions, in blocks joined by newlines.
 
-def extract(page: str, main: list[str], stays: Iterable[str] = ()) -> str:
-    """The blocks of the main regions, in page order, joined by newlines.
+    `constant` are the wrapper's constant texts by path; a page that has nothing else keeps them.
 
     `stays` are paths of elements whose names mark an aside that the host does not confirm.
     """
-    stays = set(stays)
+    stays, constant = set(stays), set(constant)
     root = parse(page)
     blocks: list[str] = []
     open_block: list[str] = []
@@ -396,7 +413,8 @@ def extract(page: str, main: list[str], stays: Iterable[str] = ()) -> str:
     def read(node: Node, path: str) -> None:
         for child in node.children:
             if child.label == "#":
-                open_block.append(child.text)
+                fixed = constant and _placed(path, child.text) in constant
+                open_block.append(" " if fixed else child.text)
                 continue
             here = f"{path}/{child.label}"
             if not skipped(child, here):
@@ -428,6 +446,8 @@ def extract(page: str, main: list[str], stays: Iterable[str] = ()) -> str:
     if not wanted or not find(root, ""):
         read(root, "")
         end()
+    if not blocks and constant:
+        return extract(page, main, stays)
     return "\n".join(blocks)
 
 
@@ -450,15 +470,16 @@ def host_of(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, regions, stays): the inferred wrapper of every host."""
+    """(host, wrapper, regions, stays, constant): the inferred wrapper of every host."""
 
     def emit(known: dict[str, Node], final: bool) -> Iterator[pa.RecordBatch]:
         hosts = list(known)
         if final:
             columns = [pa.array([expression(known[h]) for h in hosts], pa.string()),
                        pa.array([regions(known[h]) for h in hosts], pa.list_(pa.string())),
-                       pa.array([unconfirmed(known[h]) for h in hosts], pa.list_(pa.string()))]
-            names = ["host", "wrapper", "regions", "stays"]
+                       pa.array([unconfirmed(known[h]) for h in hosts], pa.list_(pa.string())),
+                       pa.array([constants(known[h]) for h in hosts], pa.list_(pa.string()))]
+            names = ["host", "wrapper", "regions", "stays", "constant"]
         else:
             columns = [pa.array([json.dumps(_pack(known[h])) for h in hosts], pa.string())]
             names = ["host", "part"]
@@ -469,7 +490,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
         for batch in slices(batches, "html"):
             for host, page in zip(texts(batch, "host"), texts(batch, "html"), strict=True):
                 part = fold(parse(page))
-                known[host] = _merge(known[host], part) if host in known else part
+                known[host] = _together(known[host], part) if host in known else part
             if len(known) > 2_000:  # bounded memory: the parts meet again by host
                 yield from emit(known, False)
                 known.clear()
@@ -482,7 +503,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
             for name, part in zip(texts(batch, "host"), texts(batch, "part"), strict=True):
                 node = _unpack(json.loads(part))
                 if whole is not None and name == host:
-                    whole = _merge(whole, node)
+                    whole = _together(whole, node)
                     continue
                 if whole is not None:
                     yield from emit({host: whole}, True)
@@ -494,13 +515,15 @@ def wrappers(pages: DataFrame) -> DataFrame:
         infer, "host string, part string")
     return (
         stored(parts, "wrapper-parts").repartition("host").sortWithinPartitions("host", "part")
-        .mapInArrow(align, "host string, wrapper string, regions array<string>, stays array<string>")
+        .mapInArrow(align, "host string, wrapper string, regions array<string>, stays array<string>, "
+                    "constant array<string>")
     )
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, text): the main text of every page by its host's wrapper."""
-    named = stored(wrappers(pages), "wrappers").select("host", "regions", "stays")
+    named = stored(wrappers(pages), "wrappers").select(
+        "host", "regions", "stays", "constant")
     # Spark broadcasts the written wrappers if their size allows it, and joins by host otherwise.
     source = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html",
@@ -511,8 +534,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
         for batch in slices(batches, "html"):
             regions_ = batch.column("regions").to_pylist()
             stays = batch.column("stays").to_pylist()
-            found = [extract(page, main or [], kept or [])
-                     for page, main, kept in zip(texts(batch, "html"), regions_, stays, strict=True)]
+            constant = batch.column("constant").to_pylist()
+            found = [extract(page, main or [], kept or [], fixed or [])
+                     for page, main, kept, fixed in zip(
+                         texts(batch, "html"), regions_, stays, constant, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("host"),
                  pa.array(found, pa.string())], ["page_id", "url", "host", "text"])

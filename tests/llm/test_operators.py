@@ -588,7 +588,8 @@ def extracted(*pages):
 
     trees = [html_wrappers.fold(html_wrappers.parse(p)) for p in pages]
     whole = reduce(html_wrappers._merge, trees)
-    found = html_wrappers.regions(whole), html_wrappers.unconfirmed(whole)
+    found = (html_wrappers.regions(whole), html_wrappers.unconfirmed(whole),
+             html_wrappers.constants(whole))
     return [html_wrappers.extract(p, *found) for p in pages]
 
 
@@ -619,6 +620,20 @@ def test_text_after_deep_blocks_inside_an_article(deep):
     assert extracted(f"<article>{hidden}<p>two</p></article>") == ["yes\ntwo"]
 
 
+def test_slots_and_optional_parts_of_all_regions_are_read():
+    page = ('<body><p>Our host greets you</p><div class="lead"><p>{0} lead</p></div><div class="b">'
+            '<p>{1}</p></div><div class="second"><p>{0} second</p>{2}</div></body>')
+    long = ["long " * 200 + x for x in "abc"]
+    pages = [page.format(x, t, "<i>more</i>" if x == "C" else "")
+             for x, t in zip("ABC", long, strict=True)]
+    assert extracted(*pages) == [
+        f"{x} lead\n{t}\n{x} second" + ("\nmore" if x == "C" else "")
+        for x, t in zip("ABC", long, strict=True)]
+    # A lone page, and a page with nothing but what is constant, keep their text.
+    assert extracted(pages[0])[0].startswith("Our host greets you\nA lead\n")
+    assert extracted("<p>same</p>", "<p>same</p><div>x</div>") == ["same", "x"]
+
+
 def test_sha_of_kept_text_is_hex(docs):
     got = line_dedup.drop_shared_lines(docs).select(
         F.sha2("kept", 256).alias("h"), "kept").first()
