@@ -7,9 +7,8 @@ of signatures. Fingerprints are partitioned by set length and compared by Jaccar
 pruning: the smaller set's length over the larger one's bounds the similarity from above, and
 where that bound is below PRUNED the likeness is 0 and the sets are not intersected.
 
-Defined cases: texts under SHORT characters, and texts of common words alone, take each of their
-words as a signature, since chains would leave them little to compare; a text without any word is its
-own signature; a missing text is empty and has an empty fingerprint; two empty fingerprints are
+Defined cases: texts of common words alone take each of their words as a signature, since they have
+no chain; the rule is the same at every length; a text without any word is its own signature; a missing text is empty and has an empty fingerprint; two empty fingerprints are
 alike (1). The next document of the last is the first, of a lone one itself. Rows are in order of
 doc_id (missing first), then of a hash of the text. Columns other than `doc_id` and `text` are
 ignored.
@@ -22,7 +21,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHORT = 400
 RUN = 8
 PRUNED = 0.1
 ALIKE = 0.8  # adjacent length partitions hold all sets that can be this similar
@@ -61,8 +59,9 @@ def signatures(text: Column) -> Column:
         return once(places, lambda at: F.transform(at, lambda p, j: chain(at, p, j)))
 
     def pick(words: Column) -> Column:
-        short = (F.length(text) < SHORT) | F.forall(words, lambda w: w.isin(COMMON))
-        return F.when(short, F.transform(words, lambda w: F.xxhash64(w))).otherwise(chains(words))
+        # Any content word has a chain or is an anchor.
+        bare = F.forall(words, lambda w: w.isin(COMMON))
+        return F.when(bare, F.transform(words, lambda w: F.xxhash64(w))).otherwise(chains(words))
 
     def whole(found: Column) -> Column:
         return F.when((F.size(found) == 0) & (text != ""), F.array(F.xxhash64(text))) \

@@ -485,6 +485,15 @@ def test_signatures_are_chains_after_common_words(spark):
     assert want <= set(got) and got == sorted(got)
 
 
+def test_one_rule_on_either_side_of_400_characters(spark):
+    text = " ".join(f"the word{n:03d}" for n in range(40))  # 479 characters
+    rows = [(text[:k],) for k in (399, 401, 431, 311)]
+    a, b, c, d = (r.s for r in spark.createDataFrame(rows, "t string").select(
+        spot_signatures.signatures(F.col("t")).alias("s")).collect())
+    for x, y, least in ((a, b, 0.9), (c, d, 0.6)):
+        assert len(set(x) & set(y)) / len(set(x) | set(y)) > least
+
+
 def test_fingerprints_run_no_python(docs):
     plan = spot_signatures.spot_fingerprints(docs, 3)._jdf.queryExecution().executedPlan()
     assert "Python" not in plan.toString() and "Arrow" not in plan.toString()
