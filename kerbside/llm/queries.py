@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (
+    collocations,
     html_wrappers,
     line_dedup,
     mixing,
     packing,
     quality_rules,
+    sentence_pieces,
     simhash,
     spot_signatures,
     substring_dedup,
@@ -21,12 +23,13 @@ from kerbside.llm import (
     warc,
 )
 from kerbside.llm.common import table
-from kerbside.llm.sql import LINE_DEDUP, QUALITY_RULES, SOURCE_MIXING
+from kerbside.llm.sql import COLLOCATIONS, LINE_DEDUP, QUALITY_RULES, SOURCE_MIXING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 # Target weights of the mixture: the two web crawls are damped, curated sources count double.
 # Sources without a weight share `OTHER_WEIGHT`.
 WEIGHTS = {"src0": 4.0, "src1": 1.0, "src2": 1.0, "src3": 2.0, "src4": 2.0, "src5": 1.0}
@@ -110,3 +113,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.main_texts(table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op12_collocations", COLLOCATIONS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_sentence_pieces")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentence_pieces.encode_and_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), "verified")

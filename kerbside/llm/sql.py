@@ -89,3 +89,55 @@ counts AS (
 SELECT doc_id, source, k AS copy
 FROM drawn JOIN steps USING (bucket) WHERE cdf <= u
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]', chr(10), 'g'), chr(10))) AS piece
+  FROM documents
+), runs AS (
+  SELECT lang, row_number() OVER () AS run, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM pieces
+), words AS (
+  SELECT lang, run, generate_subscripts(w, 1) AS i, unnest(w) AS one FROM runs
+), following AS (
+  SELECT lang, one, one || ' ' || lead(one, 1) OVER o AS two,
+         one || ' ' || lead(one, 1) OVER o || ' ' || lead(one, 2) OVER o AS three
+  FROM words WINDOW o AS (PARTITION BY run ORDER BY i)
+), grams AS (
+  SELECT lang, 1 AS size, one AS phrase FROM following
+  UNION ALL SELECT lang, 2, two FROM following WHERE two IS NOT NULL
+  UNION ALL SELECT lang, 3, three FROM following WHERE three IS NOT NULL
+), f AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang
+), cuts AS (
+  SELECT lang, phrase, size, f AS a, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS w
+  FROM f WHERE size > 1 AND f >= 10
+), lefts AS MATERIALIZED (
+  SELECT c.*, l.f AS l FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+), rated AS (
+  SELECT c.lang, c.phrase, c.a, c.k, c.l, r.f AS r, (1000000 * c.a * c.a) // (c.l * r.f) AS score
+  FROM lefts c JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), worst AS (
+  SELECT * FROM rated
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, f AS longer, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')])
+         AS phrase
+  FROM (SELECT lang, f, string_split(phrase, ' ') AS w FROM f WHERE size = 3 AND f >= 10)
+), held AS (
+  SELECT lang, phrase, max(longer) AS longer FROM inner_phrases GROUP BY ALL
+), kept AS (
+  SELECT w.* FROM worst w LEFT JOIN held h ON h.lang = w.lang AND h.phrase = w.phrase
+  WHERE h.longer IS NULL OR 100 * h.longer < 50 * w.a
+)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, k.phrase) AS rank,
+       k.phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n::BIGINT AS n,
+       score::BIGINT AS score
+FROM kept k JOIN totals t ON t.lang = k.lang
+QUALIFY rank <= 2000
+"""
