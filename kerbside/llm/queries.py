@@ -21,6 +21,7 @@ from kerbside.llm import (
     substring_dedup,
     toxicity,
     warc,
+    whitening,
 )
 from kerbside.llm.common import table
 from kerbside.llm.sql import COLLOCATIONS, LINE_DEDUP, QUALITY_RULES, SOURCE_MIXING
@@ -115,6 +116,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@register("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @register("op12_collocations", COLLOCATIONS)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -172,7 +172,7 @@ class Vocabulary:
 
     def merge_many(self, stretches: list[str]) -> list[bytes]:
         """The packed ids of short stretches, one agenda each, all advanced together."""
-        if self.unused or not self.ids:
+        if self.unused or not self.ids or not stretches:
             return [self.packed(self.merge(s)) for s in stretches]
         keys, gives, ranks = self._pairs
         points, point_ids = self._characters

@@ -23,12 +23,30 @@ def test_query_matches_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - set(Q.ORACLE)))
 def test_query_covers_its_table(spark, name):
     got = Q.QUERIES[name](spark, SF)
-    key = "page_id" if "page_id" in got.columns else "doc_id"
-    source = table(spark, SF, "pages" if key == "page_id" else "documents")
+    tables = {"page_id": "pages", "vec_id": "embeddings", "doc_id": "documents"}
+    key = next(k for k in tables if k in got.columns)
+    source = table(spark, SF, tables[key])
     assert {r[0] for r in got.select(key).collect()} == {
         r[0] for r in source.select(key).collect()}
 
 
+def brute_near_copies(rows):
+    """The least id that each id reaches, over 5-word shingles at a similarity of 0.8 or more."""
+    from test_corpus_operators import brute_components
+
+    grams = {}
+    for i, text in rows:
+        found = (text or "").encode().lower().split()
+        grams[i] = {tuple(found[k : k + 5]) for k in range(max(len(found) - 4, bool(found)))}
+
+    def near(a, b):
+        x, y = grams[a], grams[b]
+        small, large = sorted((len(x), len(y)))
+        return 5 * small >= 4 * large and 5 * len(x & y) >= 4 * len(x | y)
+
+    return brute_components(sorted(grams), near)
+
+
 def test_stages_of_the_pipeline(spark, tmp_path):
     docs = before = table(spark, SF, "documents")
     seen = {}
@@ -43,8 +61,8 @@ def test_stages_of_the_pipeline(spark, tmp_path):
     clean = toxicity.score_documents(before, model).where("predicted = 0")
     assert ids["toxicity"] == Counter(r[0] for r in clean.select("doc_id").collect())
     assert ids["line_dedup"] == ids["toxicity"]
-    grouped = simhash.near_duplicates(seen["line_dedup"])
-    assert ids["simhash"] == Counter({r[0]: 1 for r in grouped.select("component_id").collect()})
+    grouped = brute_near_copies([(r.doc_id, r.text) for r in seen["line_dedup"].collect()])
+    assert ids["simhash"] == Counter(set(grouped.values()))
     assert set(ids["source_mixing"]) <= set(ids["simhash"])
     places = defaultdict(list)
     for r in seen["best_fit_packing"].collect():
@@ -54,7 +72,7 @@ def test_stages_of_the_pipeline(spark, tmp_path):
 
 
 def test_pipeline_of_awkward_rows(spark, tmp_path):
-    from test_operators import DOCS, ROWS, padded
+    from test_corpus_operators import DOCS, ROWS, padded
 
     for k, rows in enumerate(([], padded(ROWS, 16))):
         docs = spark.createDataFrame(rows, DOCS)
@@ -67,8 +85,6 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
 
 def test_simhash_stage_keeps_one_of_each_group_at_jaccard_080(spark):
     """Against brute force over 5-word shingles, rows without an id aside."""
-    from test_operators import brute_components
-
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     base = [f"w{n * n % 1009}" for n in range(200)]
     for k in range(60):  # near copies with two to seven changed words, at 0.7 to 0.9
@@ -77,17 +93,7 @@ def test_simhash_stage_keeps_one_of_each_group_at_jaccard_080(spark):
             text[(17 * k + 29 * n) % 200] = f"x{k}y{n}"
         rows.append((1_000_000 + k, " ".join(text)))
     rows += [(2_000_000, ""), (2_000_001, None), (2_000_002, "a b"), (2_000_003, "A  b")]
-    grams = {}
-    for i, text in rows:
-        found = (text or "").encode().lower().split()
-        grams[i] = {tuple(found[k : k + 5]) for k in range(max(len(found) - 4, bool(found)))}
-
-    def near(a, b):
-        x, y = grams[a], grams[b]
-        small, large = sorted((len(x), len(y)))
-        return 5 * small >= 4 * large and 5 * len(x & y) >= 4 * len(x | y)
-
-    want = set(brute_components(sorted(grams), near).values())
+    want = set(brute_near_copies(rows).values())
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     for block, common in ((2_048, 100_000), (8, 0)):
         with pytest.MonkeyPatch.context() as patch:
