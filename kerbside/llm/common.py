@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,6 +16,11 @@ from kerbside.shared import shared_dir
 # Bytes of text that a task holds unpacked at a time. One longer text is a slice of its own.
 SLICE_BYTES = 2_000_000
 
+# Spark then deletes the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -25,7 +31,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kerbside-llm/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def settled(df: DataFrame, name: str, *consumed: DataFrame) -> DataFrame:
+    """`stored`, and what only this write needed goes: its shuffle files, and stored tables that
+    nothing reads any more. The new table takes their place, so a lost executor needs neither."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        table = stored(df.select("*"), name)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    for old in consumed:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop(old))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return table
 
 
 def slices(

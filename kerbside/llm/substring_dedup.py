@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import slices, stored, texts
+from kerbside.llm.common import settled, slices, stored, texts
 
 WIDTH = 50
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2 ** 64
@@ -162,22 +162,22 @@ def removal_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     known = source.where("doc_id is not null")
     held = stored(anchors(known, width), "anchors")
     # Different documents share an anchor exactly if its least and largest ids differ.
-    shared = stored(
+    shared = settled(
         held.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
         .where("a < b").select("anchor"), "shared-anchors",
     )
     per_doc = held.join(shared, "anchor").groupBy("doc_id").agg(
         F.collect_set("anchor").alias("anchors"))
     hits = known.join(per_doc, "doc_id").select("doc_id", "text", "anchors")
-    windows = stored(_repeated_windows(hits, width), "windows")
-    first = stored(
+    windows = settled(_repeated_windows(hits, width), "windows", held, shared)
+    first = settled(
         windows.groupBy("h", "anchor")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last").select("h", "anchor", "first"), "repeated-windows",
     )
-    return (
+    return settled(
         windows.join(first, ["h", "anchor"]).where("first < doc_id")
-        .groupBy("doc_id").agg(F.collect_set("h").alias("gone"))
+        .groupBy("doc_id").agg(F.collect_set("h").alias("gone")), "gone", windows, first,
     )
 
 
