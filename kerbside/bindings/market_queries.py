@@ -70,31 +70,24 @@ register(
           "cast(dropoff_lat AS double) AS y2, cast(dropoff_lon AS double) AS x2 FROM req)", "req"),
 )(lambda m: M.trip_distances(m.trips).select("trip_id", F.round("direct_km", 6).alias("km")))
 
-# Ten-minute buckets of one calendar day laid over all years give dense demand.
 
 
 def _demand(m: Marts):
-    return M.demand_buckets(m.trips.selectExpr(
-        "pickup_zone_id AS zone_id",
-        "timestamp_seconds(unix_seconds(requested_at) % 86400) AS requested_at",
-    ))
+    return M.demand_buckets(m.trips.selectExpr("pickup_zone_id AS zone_id", "requested_at"))
 
 
 def _sessions(m: Marts):
-    start = "unix_seconds(online_at) % 86400"
-    return m.sessions.selectExpr(
-        "online_zone_id AS zone_id", f"timestamp_seconds({start}) AS online_at",
-        f"CASE WHEN offline_at IS NOT NULL THEN timestamp_seconds({start} + 7200) END AS offline_at",
-    )
+    return m.sessions.selectExpr("online_zone_id AS zone_id", "online_at", "offline_at")
 
 
-_DEMAND = ("SELECT pickup_zone_id AS zone_id, cast(epoch(requested_at) AS bigint) % 86400 // 600 "
-           "AS bucket, count(*) AS demand FROM trips WHERE requested_at IS NOT NULL GROUP BY 1, 2")
+_DEMAND = ("SELECT pickup_zone_id AS zone_id, cast(floor(epoch(requested_at) / 600) AS bigint) "
+           "AS bucket, count(*) AS demand FROM trips WHERE requested_at IS NOT NULL AND "
+           "pickup_zone_id IS NOT NULL GROUP BY 1, 2")
 _SUPPLY = ("SELECT d.zone_id, d.bucket, any_value(d.demand) AS demand, count(s.online) AS supply "
-           f"FROM ({_DEMAND}) d LEFT JOIN (SELECT online_zone_id AS zone_id, cast(epoch(online_at) "
-           "AS bigint) % 86400 AS online, offline_at IS NULL AS open FROM ses) s ON "
-           "s.zone_id = d.zone_id AND s.online <= d.bucket * 600 AND (s.open OR d.bucket * 600 < "
-           "s.online + 7200) GROUP BY 1, 2")
+           f"FROM ({_DEMAND}) d LEFT JOIN (SELECT online_zone_id AS zone_id, epoch(online_at) AS "
+           "online, epoch(offline_at) AS offline FROM ses) s ON s.zone_id = d.zone_id AND "
+           "s.online <= d.bucket * 600 AND (s.offline IS NULL OR d.bucket * 600 < s.offline) "
+           "GROUP BY 1, 2")
 register("demand_buckets", query(_DEMAND, "trips"))(_demand)
 register("supply_buckets", query(_SUPPLY, "trips", "ses"))(
     lambda m: M.supply_buckets(_sessions(m), _demand(m))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import ROUND_HALF_EVEN, Decimal
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,13 +21,20 @@ SUPPLY_REACH = 1.35
 TRIPS_PER_DRIVER_HOUR = 1.9
 RATIO_THRESHOLD = 0.72
 SENSITIVITY = 1.5
-SMOOTHING = "0.35"
+SMOOTHING_HUNDREDTHS = 35
 FLOOR = "1.0"
 
 MORNING_HOURS = (8, 9, 10)
 EVENING_HOURS = (18, 19, 20)
 # ---- end of fixed values ------------------------------------------------------
 
+# Buckets that one chunk of a zone's timeline holds: a day.
+CHUNK_BUCKETS = 144
+FLOOR_TENTHS = 10
+# Multipliers are folded in whole numbers, this many to a tenth: a hundredth of the smoothing
+# weight times ten decimals of the raw multiplier.
+TENTH = 10**11
+
 
 def _cents(value: Column) -> Column:
     return F.round(value, 2).cast("decimal(12,2)")
@@ -176,44 +180,82 @@ def surge_grid(
 ) -> DataFrame:
     """Smoothed, capped multiplier per zone and demand-bearing bucket, in steps of 0.1.
 
-    A bucket below the minimum demand resets its zone to the floor. The zone's timeline
-    therefore falls apart into runs between resets, and each run is folded on its own.
+    A bucket maps the multiplier before it to the one after it, and both lie on tenths between
+    the floor and the cap. So it is a short list of states, and lists compose: each chunk of a
+    zone's buckets is composed by itself, one list a chunk gives the state at which every chunk
+    starts, and the chunks are then folded from there. A zone's timeline is so spread over
+    tasks; only one list a chunk comes together, and the calendar bounds these.
+
+    `weather_factor` is a column of `supplied`. A cap between tenths counts as the tenth below.
     """
     weather = F.lit(1.0) if weather_factor is None else weather_factor
     caps = zones.select("zone_id", "city_id", "is_surge_eligible").join(
         cities.select("city_id", "max_surge_multiplier"), "city_id"
     )
-    by_bucket = Window.partitionBy("zone_id").orderBy("bucket")
-    quiet = F.col("demand") < MIN_DEMAND
+    chunk = F.floor(F.col("bucket") / F.lit(CHUNK_BUCKETS)).cast("bigint")
     rows = supplied.join(caps, "zone_id").select(
-        "zone_id", "bucket", "demand", "supply", "is_surge_eligible",
-        F.col("max_surge_multiplier").alias("cap"), quiet.alias("quiet"),
+        "zone_id", "bucket", "demand", "supply", "is_surge_eligible", chunk.alias("chunk"),
+        F.floor(F.col("max_surge_multiplier") * 10).cast("bigint").alias("top"),
+        (F.col("demand") < MIN_DEMAND).alias("quiet"),
         raw_surge(weather).cast("decimal(20,10)").alias("raw"),
-        F.sum(quiet.cast("int")).over(by_bucket).alias("run"),
     )
-    # No built-in function carries a value from row to row; the calendar bounds a run.
-    smoothed = rows.groupBy("zone_id", "run").applyInPandas(
-        _smooth_run, "zone_id int, bucket long, demand long, supply long, is_surge_eligible "
-        "boolean, multiplier decimal(4,1)")
-    return smoothed.select(
-        "zone_id", "bucket", "demand", "supply",
-        F.when(F.col("is_surge_eligible"), F.col("multiplier"))
+    # Exact whole numbers: a tenth of a multiplier is TENTH.
+    mapped = rows.withColumn("raw", (F.col("raw") * 10**10).cast("bigint")).select(
+        "zone_id", "chunk", "bucket", "demand", "supply", "is_surge_eligible",
+        _bucket_states().alias("states"))
+    chunks = mapped.groupBy("zone_id", "chunk").agg(F.sort_array(F.collect_list(F.struct(
+        "bucket", "states", "demand", "supply", "is_surge_eligible"))).alias("buckets"))
+    composed = chunks.select("zone_id", "chunk", F.aggregate(
+        F.slice("buckets", F.lit(2), F.size("buckets")), F.col("buckets")[0]["states"],
+        lambda held, b: F.transform(held, lambda state: b["states"][state]),
+    ).alias("states"))
+    # The state before each chunk; 0 stands for none yet.
+    begin = composed.groupBy("zone_id").agg(F.sort_array(F.collect_list(F.struct(
+        "chunk", "states"))).alias("all")).select("zone_id", F.explode(F.aggregate(
+            "all", F.struct(F.lit(0).alias("state"), F.array().cast(
+                "array<struct<chunk:bigint,state:int>>").alias("starts")),
+            lambda held, c: F.struct(
+                c["states"][held["state"]].alias("state"),
+                F.concat(held["starts"], F.array(F.struct(
+                    c["chunk"].alias("chunk"), held["state"].alias("state")))).alias("starts")),
+        )["starts"]).alias("start")).select("zone_id", "start.chunk", "start.state")
+    steps = F.aggregate(
+        "buckets", F.array(F.col("state")),
+        lambda held, b: F.concat(held, F.array(b["states"][F.element_at(held, -1)])))
+    grid = chunks.join(begin, ["zone_id", "chunk"]).select("zone_id", F.explode(F.arrays_zip(
+        "buckets", F.slice(steps, F.lit(2), F.size("buckets")).alias("after"))).alias("r"))
+    multiplier = ((F.col("r.after") + FLOOR_TENTHS - 1).cast("decimal(6,0)") / 10).cast(
+        "decimal(4,1)")
+    return grid.select(
+        "zone_id", "r.buckets.bucket", "r.buckets.demand", "r.buckets.supply",
+        F.when(F.col("r.buckets.is_surge_eligible"), multiplier)
         .otherwise(F.lit(FLOOR).cast("decimal(4,1)")).alias("multiplier"),
     )
 
 
-def _smooth_run(run: pd.DataFrame) -> pd.DataFrame:
-    """Multipliers of one run between resets; half-even rounding to tenths."""
-    floor, weight, tenth = Decimal(FLOOR), Decimal(SMOOTHING), Decimal("0.1")
-    run = run.sort_values("bucket")
-    prior, found = None, []
-    for raw, quiet, cap in zip(run["raw"], run["quiet"], run["cap"]):
-        aimed = raw if prior is None else prior + weight * (raw - prior)
-        step = min(max(aimed, floor), cap).quantize(tenth, ROUND_HALF_EVEN)
-        prior = floor if quiet else min(max(step, floor), cap)
-        found.append(prior)
-    run["multiplier"] = found
-    return run[["zone_id", "bucket", "demand", "supply", "is_surge_eligible", "multiplier"]]
+def _bucket_states() -> Column:
+    """The state after a bucket, for no state before it and then for every tenth up to the cap.
+
+    State 1 is the floor. Half a tenth rounds to the even one.
+    """
+    low, high = F.lit(FLOOR_TENTHS * TENTH), F.col("top") * F.lit(TENTH)
+
+    def rounded(aimed: Column) -> Column:
+        aimed = F.least(F.greatest(aimed, low), high)
+        whole = F.floor(aimed / F.lit(TENTH).cast("decimal(20,0)")).cast("bigint")
+        rest = aimed - whole * F.lit(TENTH)
+        up = (rest > TENTH // 2) | ((rest == TENTH // 2) & (whole % 2 == 1))
+        return (whole + up.cast("int") - (FLOOR_TENTHS - 1)).cast("int")
+
+    def after(before: Column) -> Column:
+        # Tenths of before + SMOOTHING * (raw - before), in parts of a tenth.
+        tenths = before + (FLOOR_TENTHS - 1)
+        moved = F.col("raw") * F.lit(SMOOTHING_HUNDREDTHS) + tenths * F.lit(
+            TENTH // 100 * (100 - SMOOTHING_HUNDREDTHS))
+        return rounded(F.when(before == 0, F.col("raw") * 100).otherwise(moved))
+
+    before = F.sequence(F.lit(0).cast("bigint"), F.col("top") - (FLOOR_TENTHS - 1))
+    return F.transform(before, lambda b: F.when(F.col("quiet"), 1).otherwise(after(b)))
 
 
 # ---- profiles -------------------------------------------------------------------
