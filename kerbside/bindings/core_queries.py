@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kerbside.bindings.oracle import columns, query
 from kerbside.bindings.queries import register
 from kerbside.operators import assembly, dedup
+from kerbside.plans import quality
 from kerbside.plans.facts import _TRIP_COLUMNS
 from kerbside.schemas import EVENT_FIELDS
 
@@ -191,3 +192,24 @@ _QUALITY = (
 register("fct_pipeline_quality", query(f"SELECT {columns(_QUALITY)} FROM quality", "quality"))(
     lambda m: m.fct_pipeline_quality
 )
+
+
+def quality_from_increments(m: Marts):
+    """The quality table from the states of two halves, one of them first loaded and replaced."""
+    def half(n: int):
+        def mine(df, key):
+            return df.where(F.pmod(F.xxhash64(key), F.lit(2)) == n)
+
+        return quality.quality_states(
+            mine(m.base, "correlation_id"), mine(m.presence, "correlation_id"),
+            mine(m.fct_trips, "trip_id"), mine(m.fct_payments, "trip_id"),
+            mine(m.fct_driver_sessions, "session_id"))
+
+    first = quality.merged_states(half(0))
+    return quality.quality_from_states(
+        quality.merged_states(first, half(0), half(1), removed=[first]))
+
+
+register("quality_from_increments", query(f"SELECT {columns(_QUALITY)} FROM quality", "quality"))(
+    quality_from_increments
+)

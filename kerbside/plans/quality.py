@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import round_dp, safe_pct
 from kerbside.operators.joins import key_difference
-from kerbside.operators.quantiles import exact_median
 
 ERROR, WARN = "error", "warn"
 TOLERANCE = 0.01
@@ -412,102 +411,130 @@ def enforce(gate: DataFrame) -> list:
 
 # ---- quality table --------------------------------------------------------------
 
-
-def pipeline_quality(
+# Measures that are sums over rows of one table, by the date of the row.
+_FIRST_SEEN = ("requested_at", "accepted_at", "arrived_at", "started_at", "completed_at",
+               "cancelled_at", "paid_at")
+LATENESS = "lateness"
+MEASURES = (
+    "trip_events_landed", "presence_events_landed", "trips", "payments", "driver_sessions",
+    "duplicate_events_remaining", "late_arrivals", "clock_skewed_events", "orphaned_trips",
+    "sequence_invalid_trips", "inferred_expired_trips", "payments_without_completion",
+    "unexplained_revenue", "unknown_city_keys", "unknown_vehicle_keys", "unknown_tier_keys",
+    "unknown_status_keys", "open_sessions", "sessions_counts_disagree",
+)
+
+
+def _state(rows: DataFrame, day: Column, measures: dict[str, Column]) -> DataFrame:
+    """(landed_date, measure, at, amount): sums of row values by date, in long form."""
+    sums = rows.groupBy(day.alias("landed_date")).agg(
+        *[F.sum(F.coalesce(v.cast("decimal(18,2)"), F.lit(0))).alias(n)
+          for n, v in measures.items()])
+    return sums.unpivot(["landed_date"], list(measures), "measure", "amount").select(
+        "landed_date", "measure", F.lit(None).cast("bigint").alias("at"),
+        F.col("amount").cast("decimal(28,2)").alias("amount"))
+
+
+def event_states(base: DataFrame) -> DataFrame:
+    """States of staged trip events: counters, and how many events had each lateness."""
+    one = F.lit(1)
+    counted = base.groupBy("landed_date", "event_id").agg(
+        F.count(one).alias("copies"), F.count_if("is_late_arrival_event").alias("late"),
+        F.count_if(F.col("lateness_sec") < 0).alias("skewed"))
+    late = base.where("lateness_sec is not null").groupBy(
+        "landed_date", F.round(F.col("lateness_sec") * 1000).cast("bigint").alias("at")
+    ).agg(F.count(one).cast("decimal(28,2)").alias("amount"))
+    return _state(counted, F.col("landed_date"), {
+        "trip_events_landed": F.col("copies"), "late_arrivals": F.col("late"),
+        "clock_skewed_events": F.col("skewed"),
+        "duplicate_events_remaining": F.col("copies") - 1,
+    }).unionByName(late.select("landed_date", F.lit(LATENESS).alias("measure"), "at", "amount"))
+
+
+def quality_states(
     base: DataFrame, presence: DataFrame, trips: DataFrame, payments: DataFrame,
     sessions: DataFrame,
 ) -> DataFrame:
-    """One row per date seen in any layer: volumes, lateness, orphans, unknown keys."""
-    day = ["landed_date"]
-    per_event = base.groupBy("landed_date", "event_id").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.count_if("is_late_arrival_event").alias("late"),
-        F.count_if(F.col("lateness_sec") < 0).alias("skewed"),
-        F.max("lateness_sec").alias("max_late"),
-    )
-    events = per_event.groupBy("landed_date").agg(
-        F.sum("copies").alias("events_landed"),
-        F.count("event_id").alias("distinct_events"),
-        F.sum("late").alias("late_arrivals"),
-        F.sum("skewed").alias("clock_skewed"),
-        round_dp(F.max("max_late"), 2).alias("max_lateness_sec"),
-    )
-    millis = base.select(
-        "landed_date", F.round(F.col("lateness_sec") * 1000).cast("bigint").alias("late_ms")
-    )
-    medians = exact_median(millis, day, "late_ms", "median_ms").select(
-        "landed_date",
-        round_dp(F.col("median_ms") / F.lit(1000.0), 2).alias("median_lateness_sec"),
-    )
-    arrivals = presence.groupBy("landed_date").agg(
-        F.count(F.lit(1)).alias("presence_events_landed")
-    )
-    first_seen = F.coalesce("requested_at", "accepted_at", "arrived_at", "started_at",
-                            "completed_at", "cancelled_at", "paid_at")
-    by_trip = trips.groupBy(F.to_date(first_seen).alias("landed_date")).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count_if(~F.col("has_request_event")).alias("orphaned_trips"),
-        F.count_if(~F.col("is_sequence_valid")).alias("sequence_invalid_trips"),
-        F.count_if("is_inferred_expired").alias("inferred_expired_trips"),
-        F.count_if("had_late_events").alias("trips_with_late_events"),
-        *[
-            F.count_if(F.col(key) == -1).alias(name)
-            for key, name in (
-                ("city_id", "unknown_city_keys"), ("vehicle_type_id", "unknown_vehicle_keys"),
-                ("customer_tier_id", "unknown_tier_keys"),
-                ("ride_status_id", "unknown_status_keys"),
-            )
-        ],
-    )
-    no_completion = F.col("completed_at").isNull()
-    by_payment = (
-        payments.select("trip_id", "paid_at", "amount_charged")
-        .join(trips.select("trip_id", "completed_at"), "trip_id")
-        .groupBy(F.to_date("paid_at").alias("landed_date"))
-        .agg(
-            F.count(F.lit(1)).alias("payments"),
-            F.count_if(no_completion).alias("payments_without_completion"),
-            F.sum(F.when(no_completion, F.col("amount_charged")).otherwise(F.lit(0)))
-            .cast("decimal(18,2)").alias("unexplained_revenue"),
-        )
-    )
-    by_session = sessions.groupBy(F.to_date("online_at").alias("landed_date")).agg(
-        F.count(F.lit(1)).alias("driver_sessions"),
-        F.count_if("is_session_open").alias("open_sessions"),
-        F.count_if("counts_disagree").alias("sessions_counts_disagree"),
-    )
+    """What the quality table is made of, as sums: states of disjoint rows add up.
 
-    sides = [events, medians, arrivals, by_trip, by_payment, by_session]
-    dates = reduce(DataFrame.unionByName, [s.select("landed_date") for s in sides]).distinct()
-    joined = reduce(lambda left, right: left.join(right, "landed_date", "left"), sides, dates)
+    Lateness is kept as a count for every millisecond value, so the median stays exact.
+    """
+    one = F.lit(1)
+    bare = F.col("completed_at").isNull()
+    paid = payments.select("trip_id", "paid_at", "amount_charged").join(
+        trips.select("trip_id", "completed_at"), "trip_id")
+    parts = [
+        event_states(base),
+        _state(presence, F.col("landed_date"), {"presence_events_landed": one}),
+        _state(trips, F.to_date(F.coalesce(*_FIRST_SEEN)), {
+            "trips": one,
+            "orphaned_trips": (~F.col("has_request_event")).cast("int"),
+            "sequence_invalid_trips": (~F.col("is_sequence_valid")).cast("int"),
+            "inferred_expired_trips": F.col("is_inferred_expired").cast("int"),
+            "unknown_city_keys": (F.col("city_id") == -1).cast("int"),
+            "unknown_vehicle_keys": (F.col("vehicle_type_id") == -1).cast("int"),
+            "unknown_tier_keys": (F.col("customer_tier_id") == -1).cast("int"),
+            "unknown_status_keys": (F.col("ride_status_id") == -1).cast("int"),
+        }),
+        _state(paid, F.to_date("paid_at"), {
+            "payments": one, "payments_without_completion": bare.cast("int"),
+            "unexplained_revenue": F.when(bare, F.col("amount_charged")),
+        }),
+        _state(sessions, F.to_date("online_at"), {
+            "driver_sessions": one, "open_sessions": F.col("is_session_open").cast("int"),
+            "sessions_counts_disagree": F.col("counts_disagree").cast("int"),
+        }),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
-    def or_zero(name: str, alias: str | None = None) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).alias(alias or name)
 
-    events_landed = F.coalesce("events_landed", F.lit(0))
-    return joined.select(
-        "landed_date",
-        or_zero("events_landed", "trip_events_landed"),
-        or_zero("presence_events_landed"), or_zero("trips", "trips"), or_zero("payments"),
-        or_zero("driver_sessions"),
-        (events_landed - F.coalesce("distinct_events", F.lit(0))).alias(
-            "duplicate_events_remaining"
-        ),
-        or_zero("late_arrivals"), or_zero("clock_skewed", "clock_skewed_events"),
-        "max_lateness_sec", "median_lateness_sec",
-        or_zero("orphaned_trips"), or_zero("sequence_invalid_trips"),
-        or_zero("inferred_expired_trips"), or_zero("payments_without_completion"),
-        or_zero("unexplained_revenue"), or_zero("unknown_city_keys"),
-        or_zero("unknown_vehicle_keys"), or_zero("unknown_tier_keys"),
-        or_zero("unknown_status_keys"), or_zero("open_sessions"),
-        or_zero("sessions_counts_disagree"),
-        safe_pct(F.coalesce("orphaned_trips", F.lit(0)), F.col("trips"), 3).alias(
-            "orphaned_trip_pct"
-        ),
-        safe_pct(F.coalesce("sequence_invalid_trips", F.lit(0)), F.col("trips"), 3).alias(
-            "sequence_invalid_pct"
-        ),
-        safe_pct(F.coalesce("late_arrivals", F.lit(0)), F.col("events_landed"), 3).alias(
-            "late_arrival_pct"
-        ),
+def merged_states(*states: DataFrame, removed: Sequence[DataFrame] = ()) -> DataFrame:
+    """States added up, less those of rows that are gone; what sums to nothing falls away."""
+    parts = [*states, *(s.withColumn("amount", -F.col("amount")) for s in removed)]
+    # A date on which something was seen stays, even where its counters are zero.
+    return (
+        reduce(DataFrame.unionByName, parts).groupBy("landed_date", "measure", "at")
+        .agg(F.sum("amount").cast("decimal(28,2)").alias("amount"))
+        .where((F.col("amount") != 0) | F.col("at").isNull())
+    )
+
+
+def quality_from_states(states: DataFrame) -> DataFrame:
+    """The quality table: one row per date with anything seen on it."""
+    # One row per date and lateness; the values of a date are bounded by the accepted lateness.
+    # Nothing can be placed in order below a zero count, so only held values take part.
+    order = Window.partitionBy("landed_date").orderBy("at")
+    lateness = states.where((F.col("measure") == LATENESS) & (F.col("amount") > 0)).groupBy(
+        "landed_date", "at").agg(F.sum("amount").alias("held"))
+    placed = lateness.select(
+        "landed_date", "at", "held", F.sum("held").over(order).alias("upto"),
+        F.sum("held").over(Window.partitionBy("landed_date")).alias("all"))
+    # The two middle events; one and the same where the number is odd.
+    middles = [F.floor((F.col("all") + k) / 2) for k in (1, 2)]
+    medians = placed.groupBy("landed_date").agg(
+        *[F.max(F.when((F.col("upto") >= m) & (F.col("upto") - F.col("held") < m), F.col("at")))
+          .alias(f"_m{k}") for k, m in enumerate(middles)],
+        F.max("at").alias("_max"))
+    sums = states.where(F.col("measure") != LATENESS).groupBy("landed_date").agg(*[
+        F.coalesce(F.sum(F.when(F.col("measure") == m, F.col("amount"))), F.lit(0)).alias(m)
+        for m in MEASURES])
+    medians = medians.withColumnRenamed("landed_date", "_day")
+    whole = sums.join(medians, F.col("landed_date").eqNullSafe(F.col("_day")), "left")
+    typed = [F.col(m).cast("decimal(18,2)" if m == "unexplained_revenue" else "bigint").alias(m)
+             for m in MEASURES]
+    return whole.where(reduce(lambda a, b: a | b, [F.col(m) != 0 for m in MEASURES])).select(
+        "landed_date", *typed, round_dp(F.col("_max") / F.lit(1000.0), 2).alias("max_lateness_sec"),
+        round_dp((F.col("_m0") + F.col("_m1")) / F.lit(2000.0), 2).alias("median_lateness_sec"),
+    ).select(
+        "*", safe_pct(F.col("orphaned_trips"), F.col("trips"), 3).alias("orphaned_trip_pct"),
+        safe_pct(F.col("sequence_invalid_trips"), F.col("trips"), 3).alias("sequence_invalid_pct"),
+        safe_pct(F.col("late_arrivals"), F.col("trip_events_landed"), 3).alias("late_arrival_pct"),
     )
+
+
+def pipeline_quality(
+    base: DataFrame, presence: DataFrame, trips: DataFrame, payments: DataFrame,
+    sessions: DataFrame,
+) -> DataFrame:
+    """One row per date seen in any layer: volumes, lateness, orphans, unknown keys."""
+    return quality_from_states(merged_states(
+        quality_states(base, presence, trips, payments, sessions)))
