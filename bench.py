@@ -14,6 +14,9 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from kerbside.bindings.core_queries import quality_from_increments  # noqa: E402
+from kerbside.bindings.incremental_queries import LoadRun  # noqa: E402
+from kerbside.bindings.market_queries import surge_grid_under_weather  # noqa: E402
 from kerbside.bindings.marts import Marts  # noqa: E402
 from kerbside.bindings.stream_queries import raw_messages  # noqa: E402
 from kerbside.operators.dedup import dedup_batch  # noqa: E402
@@ -65,6 +68,12 @@ def main() -> None:
     timed("fct_pipeline_quality", lambda: noop(m.build_fct_pipeline_quality()))
     timed("anomaly_profile", lambda: noop(marketplace.anomaly_profile(m.landing)))
 
+    timed("surge_grid", lambda: noop(surge_grid_under_weather(m)))
+    timed("quality_increment", lambda: noop(quality_from_increments(m)))
+    loads = LoadRun(m)
+    timed("first_load", loads.first)
+    timed("incremental_run", loads.next)
+
     events = raw_messages(m).count()
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -119,6 +119,30 @@ register("surge_grid", query(_GRID, "trips", "ses", "dim_zone", "dim_city"))(
     lambda m: M.surge_grid(M.supply_buckets(_sessions(m), _demand(m)), m.dims["dim_zone"],
                            m.dims["dim_city"])
 )
+# The same with the weather that most requests of a bucket report.
+_WEATHER = ("SELECT pickup_zone_id AS zone_id, cast(floor(epoch(requested_at) / 600) AS bigint) AS "
+            "bucket, arg_max(supply_impact_factor, n * 100 - weather_id) AS wf FROM (SELECT *, "
+            "count(*) OVER (PARTITION BY pickup_zone_id, floor(epoch(requested_at) / 600), "
+            "request_weather_code) AS n FROM trips WHERE requested_at IS NOT NULL) JOIN "
+            "dim_weather ON weather_code = request_weather_code GROUP BY 1, 2")
+_UNDER_WEATHER = (f"SELECT s.*, coalesce(wf, 1) AS wf FROM ({_SUPPLY}) s "
+                  f"LEFT JOIN ({_WEATHER}) USING (zone_id, bucket)")
+
+
+def surge_grid_under_weather(m: Marts):
+    requests = m.trips.selectExpr("pickup_zone_id AS zone_id", "requested_at",
+                                  "request_weather_code AS weather_code")
+    supplied = M.supply_buckets(_sessions(m), _demand(m)).join(
+        M.weather_factors(requests, m.dims["dim_weather"]), ["zone_id", "bucket"], "left")
+    return M.surge_grid(supplied, m.dims["dim_zone"], m.dims["dim_city"],
+                        F.coalesce("weather_factor", F.lit(1.0)))
+
+
+register(
+    "surge_grid_under_weather",
+    query(_GRID.replace(_SUPPLY, _UNDER_WEATHER).replace("supply * 1.35", "supply * 1.35 * wf"),
+          "trips", "ses", "dim_zone", "dim_city", "dim_weather"),
+)(surge_grid_under_weather)
 register(
     "raw_surge",
     query(f"SELECT zone_id, bucket, round({_RAW}, 6) AS raw FROM ({_SUPPLY})", "trips", "ses"),

@@ -164,6 +164,23 @@ def supply_buckets(sessions: DataFrame, demand: DataFrame) -> DataFrame:
     ).where(F.col("demand").isNotNull())
 
 
+def weather_factors(requests: DataFrame, weather: DataFrame) -> DataFrame:
+    """(zone_id, bucket, weather_factor): what the weather leaves of the supply in a bucket.
+
+    A bucket has the weather that most of its requests report; of equally many, the one with the
+    least id. `requests` needs zone_id, requested_at and weather_code.
+    """
+    rates = weather.select("weather_code", "weather_id", "supply_impact_factor")
+    return (
+        requests.where(F.col("requested_at").isNotNull() & F.col("zone_id").isNotNull())
+        .groupBy("zone_id", _bucket("requested_at").alias("bucket"), "weather_code")
+        .agg(F.count(F.lit(1)).alias("n")).join(rates, "weather_code")
+        .groupBy("zone_id", "bucket")
+        .agg(F.max_by(F.col("supply_impact_factor").cast("double"),
+                      F.struct("n", -F.col("weather_id"))).alias("weather_factor"))
+    )
+
+
 def raw_surge(weather_factor: Column) -> Column:
     """Multiplier before smoothing: demand rate over the capacity rate of reachable drivers."""
     effective = F.greatest(
