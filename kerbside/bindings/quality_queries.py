@@ -93,16 +93,24 @@ register(
 )(lambda m: Q.surge_amounts(m.typed("RideCompleted")))
 register(
     "rule_surge_as_quoted",
-    query("SELECT trip_id, cast(req.surge_multiplier AS double) AS quoted_surge, "
-          "cast(com.surge_multiplier AS double) AS charged_surge FROM req JOIN com USING (trip_id) "
-          "WHERE req.surge_multiplier != com.surge_multiplier", "req", "com"),
+    query("SELECT trip_id, cast(quoted AS double) AS quoted_surge, cast(charged AS double) AS "
+          "charged_surge FROM (SELECT trip_id, max(quoted) AS quoted, max(charged) AS charged FROM "
+          "(SELECT trip_id, surge_multiplier AS quoted, NULL AS charged FROM req UNION ALL "
+          "SELECT trip_id, NULL, surge_multiplier FROM com) GROUP BY trip_id) "
+          "WHERE quoted != charged", "req", "com"),
 )(lambda m: Q.surge_as_quoted(m.typed("RideRequested"), m.typed("RideCompleted")))
 register(
     "rule_lifecycle_order",
-    query("SELECT trip_id, requested_at, accepted_at, arrived_at, started_at, completed_at, paid_at "
-          "FROM req LEFT JOIN acc USING (trip_id) LEFT JOIN arr USING (trip_id) "
-          "LEFT JOIN sta USING (trip_id) LEFT JOIN com USING (trip_id) LEFT JOIN pay "
-          "USING (trip_id) WHERE accepted_at <= requested_at OR arrived_at <= accepted_at "
+    query("SELECT * FROM (SELECT trip_id, max(requested_at) AS requested_at, max(accepted_at) AS "
+          "accepted_at, max(arrived_at) AS arrived_at, max(started_at) AS started_at, "
+          "max(completed_at) AS completed_at, max(paid_at) AS paid_at FROM ("
+          "SELECT trip_id, requested_at FROM req UNION ALL BY NAME "
+          "SELECT trip_id, accepted_at FROM acc UNION ALL BY NAME "
+          "SELECT trip_id, arrived_at FROM arr UNION ALL BY NAME "
+          "SELECT trip_id, started_at FROM sta UNION ALL BY NAME "
+          "SELECT trip_id, completed_at FROM com UNION ALL BY NAME "
+          "SELECT trip_id, paid_at FROM pay) GROUP BY trip_id) "
+          "WHERE accepted_at <= requested_at OR arrived_at <= accepted_at "
           "OR started_at < arrived_at OR completed_at <= started_at OR paid_at < completed_at",
           "req", "acc", "arr", "sta", "com", "pay"),
 )(lambda m: Q.lifecycle_order(m.trips))
@@ -120,8 +128,10 @@ register(
 )(lambda m: Q.payment_without_completion(m.fct_payments, m.fct_trips))
 register(
     "rule_completed_and_cancelled",
-    query("SELECT trip_id, completed_at, cancelled_at FROM com JOIN can USING (trip_id)",
-          "com", "can"),
+    query("SELECT trip_id, max(completed_at) AS completed_at, max(cancelled_at) AS cancelled_at "
+          "FROM (SELECT trip_id, completed_at FROM com UNION ALL BY NAME SELECT trip_id, "
+          "cancelled_at FROM can) GROUP BY trip_id "
+          "HAVING max(completed_at) IS NOT NULL AND max(cancelled_at) IS NOT NULL", "com", "can"),
 )(lambda m: Q.completed_and_cancelled(m.trips))
 
 # Facts with known gaps, so that the reconciliation rules have something to find.
@@ -175,17 +185,19 @@ register(
 ))
 register(
     "rule_dangling_causation",
-    query("SELECT event_id, event_type, correlation_id, causation_id FROM base b WHERE "
-          "causation_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM base p WHERE "
-          "p.event_id = b.causation_id AND p.correlation_id = b.correlation_id)", "base"),
+    query("SELECT event_id, event_type, correlation_id, causation_id FROM base "
+          "QUALIFY causation_id IS NOT NULL AND NOT "
+          "list_contains(list(event_id) OVER (PARTITION BY correlation_id), causation_id)", "base"),
 )(lambda m: Q.dangling_causation(m.base))
 register(
     "rule_causal_order",
-    query("SELECT b.event_id, b.causation_id, b.event_timestamp, p.event_timestamp AS caused_at, "
-          "if(b.event_id = b.causation_id, 'own_cause', if(b.event_timestamp = "
-          "p.event_timestamp, 'at_cause', 'before_cause')) AS issue "
-          "FROM base b JOIN base p ON p.event_id = b.causation_id "
-          "WHERE b.event_timestamp <= p.event_timestamp", "base"),
+    query("SELECT e.event_id, id AS causation_id, e.at AS event_timestamp, caused_at, "
+          "if(e.event_id = id, 'own_cause', if(e.at = caused_at, 'at_cause', 'before_cause')) AS "
+          "issue FROM (SELECT id, max(caused_at) AS caused_at, unnest(list(effect) FILTER "
+          "(effect IS NOT NULL)) AS e FROM (SELECT event_id AS id, event_timestamp AS caused_at, "
+          "NULL AS effect FROM base UNION ALL SELECT causation_id, NULL, {'event_id': event_id, "
+          "'at': event_timestamp} FROM base WHERE causation_id IS NOT NULL) GROUP BY id) "
+          "WHERE e.at <= caused_at", "base"),
 )(lambda m: Q.causal_order(m.base))
 register(
     "rule_airport_fee",
