@@ -3,9 +3,8 @@
 A spot is a common word directly before a content word; its signature is the chain of that
 common word and the next two content words. In a run of content words, a word that has no common
 word among the RUN words before it is an anchor itself. A document's fingerprint is its sorted set
-of signatures. Fingerprints are partitioned by set length and compared by Jaccard similarity, after
-pruning: the smaller set's length over the larger one's bounds the similarity from above, and
-where that bound is below PRUNED the likeness is 0 and the sets are not intersected.
+of signatures. Fingerprints have a partition by set length, since the smaller set's length over the
+larger one's bounds their Jaccard similarity from above; the likeness of two is the exact ratio.
 
 Defined cases: texts of common words alone take each of their words as a signature, since they have
 no chain; the rule is the same at every length; a text without any word is its own signature; a missing text is empty and has an empty fingerprint; two empty fingerprints are
@@ -22,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RUN = 8
-PRUNED = 0.1
 ALIKE = 0.8  # adjacent length partitions hold all sets that can be this similar
 
 # FIXED VALUES: common words of English, German, French and Spanish.
@@ -83,14 +81,10 @@ def length_partition(signatures_: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Pruned Jaccard similarity of two signature sets."""
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    """Jaccard similarity of two signature sets; two empty ones are alike."""
     shared = F.size(F.array_intersect(a, b))
-    return (
-        F.when(large == 0, F.lit(1.0))
-        .when(small < F.lit(PRUNED) * large, F.lit(0.0))
-        .otherwise(shared.cast("double") / (small + large - shared))
-    )
+    either = F.size(a) + F.size(b) - shared
+    return F.when(either == 0, F.lit(1.0)).otherwise(shared.cast("double") / either)
 
 
 def in_ranges(docs: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
