@@ -17,7 +17,7 @@ def sequence_events(events: DataFrame, sizes_from: DataFrame | None = None) -> D
     of the table is ranked over time buckets instead, so no task receives all its rows.
     `sizes_from` may name a cheaper superset of the events to find such ids in.
     """
-    hot = F.broadcast(hot_keys(events if sizes_from is None else sizes_from, KEY))
+    hot = hot_keys(events if sizes_from is None else sizes_from, KEY)
     ordinary = _rank_by_window(events.join(hot, KEY, "left_anti"))
     large = _rank_by_bucket(events.join(hot, KEY, "left_semi"))
     return ordinary.unionByName(large)

@@ -18,7 +18,7 @@ def scd2(
     state before it and the first change after it, so no task receives all rows of the key.
     """
     rows = history.select(key, ts, tie, F.struct(*attrs).alias("_state"))
-    hot = F.broadcast(hot_keys(rows, key))
+    hot = hot_keys(rows, key)
     ordinary = _versions(rows.join(hot, key, "left_anti"), key, ts, tie)
     large = _versions_by_bucket(rows.join(hot, key, "left_semi"), key, ts, tie)
     return ordinary.unionByName(large).select(
