@@ -14,7 +14,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from kerbside.bindings.core_queries import quality_from_increments  # noqa: E402
 from kerbside.bindings.incremental_queries import LoadRun  # noqa: E402
 from kerbside.bindings.market_queries import surge_grid_under_weather  # noqa: E402
 from kerbside.bindings.marts import Marts  # noqa: E402
@@ -69,7 +68,6 @@ def main() -> None:
     timed("anomaly_profile", lambda: noop(marketplace.anomaly_profile(m.landing)))
 
     timed("surge_grid", lambda: noop(surge_grid_under_weather(m)))
-    timed("quality_increment", lambda: noop(quality_from_increments(m)))
     loads = LoadRun(m)
     timed("first_load", loads.first)
     timed("incremental_run", loads.next)
