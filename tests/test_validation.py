@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,12 @@ def test_batches_report_what_was_written(spark, tmp_path):
     got = {r["batch_id"]: (r["polled"], r["landed"], r["rejected"], r["reconciles"])
            for r in spark.read.parquet(paths.report).collect()}
     assert got == {0: (0, 0, 0, True), 1: (2, 0, 2, True)}
+
+
+def test_reasons_take_no_json_text(spark, capsys):
+    """One for the detail of a broken version; it was one for each value of a message."""
+    raw = spark.createDataFrame([], RAW_MESSAGE)
+    validate(raw).select("offset", "reason").explain("extended")
+    plan = capsys.readouterr().out
+    assert "schema_of_variant" in plan
+    assert plan.count("to_json(") <= plan.count("to_json(try_variant_get(")
