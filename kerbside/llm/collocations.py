@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import slices, stored, texts
+from kerbside.llm.common import settled, slices, stored, texts
 
 MIN_COUNT = 10
 LONGEST = 3
@@ -310,9 +310,10 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_
     for seed in itertools.count(0, 10):
         width = 64 if seed else bits
         packed = _packed_counts(source, seed, longest, shard_bits, width)
-        found = stored(_frequent(packed, min_count, shard_bits), "fingerprints")
+        # The packed entries' shuffle files go before the texts are shuffled.
+        found = settled(_frequent(packed, min_count, shard_bits), "fingerprints")
         keys = found.where("fingerprint is not null")
-        written = stored(_phrases(source, keys, seed, width, longest).distinct(), "phrases")
+        written = settled(_phrases(source, keys, seed, width, longest).distinct(), "phrases")
         texts_of = written.groupBy(*key).agg(F.count(F.lit(1)).alias("texts"))
         if keys.join(texts_of, key, "left").where("coalesce(texts, 0) != 1").isEmpty():
             break

@@ -84,3 +84,20 @@ def test_many_flushes_and_large_counts(spark):
         rows = [*ROWS, ("en", "far away " * 3_000)]
         found = collocations.collocations(rows_of(spark, rows))
         assert {tuple(r) for r in found.collect()} == brute(rows)
+
+
+def test_entries_go_before_texts_are_read_again(spark, monkeypatch):
+    """The packed entries are the largest shuffle; its files must not lie beside the next one."""
+    written, settled = [], collocations.settled
+
+    def note(df, name, *consumed):
+        written.append(name)
+        return settled(df, name, *consumed)
+
+    monkeypatch.setattr(collocations, "settled", note)
+    docs = spark.createDataFrame([(i, "a b c. a b", "en") for i in range(12)],
+                                 "doc_id long, text string, lang string")
+    counts, _ = collocations.phrase_counts(docs)
+    assert written[:2] == ["fingerprints", "phrases"]
+    assert {(r.phrase, r.f) for r in counts.where("size = 2").collect()} == {
+        ("a b", 24), ("b c", 12)}
