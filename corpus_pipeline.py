@@ -34,8 +34,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, at a 5-word Jaccard similarity of 0.8 or more:
-    the one with the least id.
+    """One document of each group of near copies, the one with the least id. Documents are linked by
+    SimHash (op2's rule) and by a 5-word Jaccard similarity of 0.8 or more, which finds more.
 
     Documents without an id stay; of rows repeated under one id one stays.
     """

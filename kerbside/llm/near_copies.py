@@ -1,4 +1,5 @@
-"""Near copies by exact Jaccard similarity of word shingles: an all-pairs join over set prefixes.
+"""Near copies by SimHash, then by exact Jaccard similarity of word shingles: an all-pairs join over
+set prefixes, which spares pairs that SimHash has linked.
 
 Two sets with a similarity of 4/5 or more share one of the first n - ceil(4n/5) + 1 elements of
 either, in any order of all elements that both follow. Sets meet in buckets of one prefix element;
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import settled, slices, texts
 from kerbside.llm.components import components
-from kerbside.llm.simhash import SEED
+from kerbside.llm.simhash import SEED, near_duplicates
 
 WORDS = 5
 # Similarity of 4/5 or more.
@@ -216,10 +217,25 @@ def _candidates(members: DataFrame, first: bool) -> DataFrame:
     )
 
 
-def similar(source: DataFrame, sets: DataFrame) -> DataFrame:
+def same_fingerprints(source: DataFrame, whole: DataFrame) -> DataFrame:
+    """(a, b): each set that SimHash links to others, with the least set of its SimHash group.
+
+    `source` has (text, h), `whole` the set (node) of each text (h).
+    """
+    grouped = near_duplicates(source.select(F.col("h").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("h"), F.col("component_id").alias("group")).distinct()
+    members = settled(whole.select("h", "node").distinct().join(grouped, "h")
+                      .select("group", "node").distinct(), "simhash-groups")
+    least = members.groupBy("group").agg(F.min("node").alias("b"))
+    return settled(members.join(least, "group").where("node != b")
+                   .select(F.col("node").alias("a"), "b").distinct(), "simhash-links", members)
+
+
+def similar(source: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
     """(a, b): links among distinct sets (node, n, prefix, bits, h) whose components are those of all
-    pairs with a similarity of 4/5 or more. Whole sets are read again from `source` (text, h),
-    for the pairs that need them."""
+    pairs with a similarity of 4/5 or more and of the `known` links (a, b), whose ends are not
+    compared again. Whole sets are read again from `source` (text, h), for the pairs that need
+    them."""
     prefixes = sets.select("node", "n", F.posexplode("prefix").alias("at", "item"))
     sizes = settled(prefixes.groupBy("item").agg(F.count(F.lit(1)).alias("size"))
                     .where("size > 1"), "sizes")
@@ -245,23 +261,29 @@ def similar(source: DataFrame, sets: DataFrame) -> DataFrame:
             (PART + WHOLE) * shared >= PART * (F.size("left") + F.size("right"))).select("a", "b"),
             "links", found, whole)
 
-    near = verified(_candidates(members.withColumn("root", F.col("node")), True))
-    roots = components(near).select("node", "root")
-    rest = members.join(roots, "node", "left").select(
-        *members.columns, F.coalesce("root", "node").alias("root"))
-    return near.unionByName(verified(_candidates(rest, False), members))
+    def rooted(links: DataFrame) -> DataFrame:
+        roots = components(links).select("node", "root")
+        return members.join(roots, "node", "left").select(
+            *members.columns, F.coalesce("root", "node").alias("root"))
+
+    near = known.unionByName(verified(_candidates(rooted(known), True)))
+    return near.unionByName(verified(_candidates(rooted(near), False), members))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id) per row; component_id is the least id reachable."""
+    """(doc_id, component_id) per row; component_id is the least id reachable.
+
+    SimHash links documents first, by its own rule; the join adds the near copies that it leaves.
+    """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                          F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     whole = settled(_prefixes(source), "prefixes")
     sets = settled(whole.groupBy("node").agg(
         F.min("doc_id").alias("least"), F.first(F.struct("n", "h", "prefix", "bits")).alias("s"))
         .select("node", "least", "s.*"), "sets")
+    known = same_fingerprints(source, whole)
     rows = settled(whole.select("doc_id", "node"), "nodes", whole)
-    linked = components(similar(source, sets))
+    linked = components(similar(source, sets, known))
     classes = settled(
         sets.select("node", "least").join(linked, "node", "left")
         .select("node", F.coalesce("root", "node").alias("root"), "least"), "classes", sets)

@@ -104,3 +104,14 @@ def test_simhash_stage_keeps_one_of_each_group_at_jaccard_080(spark):
             assert {r.doc_id for r in got.collect()} == want
     old = simhash.near_duplicates(docs).where("doc_id = component_id").count()
     assert len(want) < old  # the 3-bit links of op2 leave near copies
+
+
+def test_simhash_stage_joins_what_simhash_links(spark):
+    """Fingerprints at three bits or fewer link, whatever the share of 5-word shingles."""
+    # Three shingles found hundreds of times decide every bit; most of the set differs.
+    rows = [(i, "a b c " * 300 + " ".join(f"x{i}y{n}" for n in range(30))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    linked = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, 3, 3).collect()}
+    jaccard = set(brute_near_copies(rows).values())
+    got = {r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, SF).collect()}
+    assert len(jaccard) > len(set(linked.values())) and got == set(linked.values())
