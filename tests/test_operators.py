@@ -9,8 +9,8 @@ from decimal import ROUND_HALF_EVEN, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.operators import quantiles, running, sequence
-from kerbside.operators.joins import drill_across
+from kerbside.operators import assembly, quantiles, running, sequence
+from kerbside.operators.joins import drill_across, lookup_keys
 from kerbside.plans import incremental, marketplace, quality
 from kerbside.shared import shared_dir
 
@@ -146,6 +146,33 @@ def test_dedup_plan_limits_each_key_before_the_shuffle(marts):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def _joins(plan) -> list:
+    below = [plan.children().apply(i) for i in range(plan.children().length())]
+    found = [join for child in below for join in _joins(child)]
+    return [plan, *found] if plan.nodeName() == "Join" else found
+
+
+def test_lookups_pass_the_fact_as_one_column(spark, marts):
+    plan = marts.build_fct_trips()._jdf.queryExecution().optimizedPlan()
+    wide = [join for join in _joins(plan) if join.output().length() > 40]
+    assert len(wide) == 1  # the one with the cities' time zones
+
+
+def test_a_repeated_code_or_a_null_one_in_a_lookup(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, code string")
+    dim = spark.createDataFrame([("a", 7), ("a", 8), (None, 9)], "c string, id int")
+    found = lookup_keys(fact, {"key": ("code", dim, "c", "id")})
+    assert found.columns == ["n", "code", "key"]
+    assert sorted(map(tuple, found.select("n", "key").collect())) == [
+        (1, 7), (1, 8), (2, -1), (3, -1)]
+    assert lookup_keys(fact, {"key": ("code", dim, "c", "id")}, ["n"]).columns == ["n", "key"]
+
+
+def test_trips_sort_only_what_they_take(marts):
+    plan = assembly.trips_from_base(marts.base)._jdf.queryExecution().optimizedPlan()
+    assert "gateway_reference" not in plan.treeString()
+
+
 def test_replacement_survives_empty_deltas(spark, tmp_path):
     from kerbside.plans import incremental as I
 
