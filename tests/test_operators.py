@@ -9,10 +9,10 @@ from decimal import ROUND_HALF_EVEN, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.operators import assembly, quantiles, running, sequence
+from kerbside.operators import assembly, dedup, quantiles, running, sequence, staging
 from kerbside.operators.joins import drill_across, lookup_keys
 from kerbside.plans import incremental, marketplace, quality
-from kerbside.shared import shared_dir
+from kerbside.shared import shared_dir, written_apart
 
 T0 = datetime(2026, 3, 17, 2, 0)
 
@@ -146,6 +146,44 @@ def test_dedup_plan_limits_each_key_before_the_shuffle(marts):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_rows_that_may_have_copies_are_flagged(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice([f"e{i}", f"e{i % 40}", None]), T0 + timedelta(seconds=rng.randrange(50)),
+             rng.randrange(3), "t", 0, i) for i in range(2_000)]
+    rows += [("same", T0, 1, "t", 0, -1)] * 3
+    df = spark.createDataFrame(rows, "event_id string, ingested_at timestamp, kafka_offset long, "
+                               "kafka_topic string, kafka_partition int, n long")
+    marked = dedup.mark_repeated(df)
+    copies = {k for k in {r[0] for r in rows} if sum(r[0] == k for r in rows) > 1}
+    found = marked.collect()
+    assert sorted(map(str, (r[:6] for r in found))) == sorted(map(str, rows))
+    assert all(r["_repeats"] for r in found if r["event_id"] in copies)
+    # A few lone rows may share a bit with a repeated key.
+    assert sum(r["_repeats"] for r in found if r["event_id"] not in copies) < 20
+    once = df.where("event_id is not null").dropDuplicates(["event_id"])
+    assert dedup.mark_repeated(once).where("_repeats").isEmpty()
+
+
+def test_stored_base_shuffles_only_rows_with_copies(spark, marts):
+    columns = ["event_id", "kafka_offset", "payload_json", "landed_at"]
+    assert sorted(map(str, marts.base.select(*columns).collect())) == sorted(
+        map(str, marts.build_base().select(*columns).collect()))
+    marked = staging.marked_events(marts.build_landing())
+    plan = marked._jdf.queryExecution().optimizedPlan().treeString()
+    assert "Window" not in plan
+    assert marts.base._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+
+
+def test_flagged_tables_may_be_empty(spark):
+    rows = spark.createDataFrame([(1, "x")], "n int, s string")
+    kept = written_apart(spark, "flags", "empty", lambda: rows.select(
+        "*", (F.col("n") > 1).alias("f")).where("n > 5"), "f")
+    assert kept.columns == ["n", "s", "f"] and kept.isEmpty()
+    one = written_apart(spark, "flags", "one", lambda: rows.select(
+        "*", (F.col("n") > 1).alias("f")), "f")
+    assert one.where("f").isEmpty() and one.where("not f").count() == 1
+
+
 def _joins(plan) -> list:
     below = [plan.children().apply(i) for i in range(plan.children().length())]
     found = [join for child in below for join in _joins(child)]
