@@ -9,6 +9,7 @@ from decimal import ROUND_HALF_EVEN, Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from kerbside import shared
 from kerbside.operators import assembly, dedup, quantiles, running, sequence, staging
 from kerbside.operators.joins import drill_across, lookup_keys
 from kerbside.plans import incremental, marketplace, quality
@@ -184,6 +185,15 @@ def test_flagged_tables_may_be_empty(spark):
     assert one.where("f").isEmpty() and one.where("not f").count() == 1
 
 
+def test_a_write_has_its_settings_and_leaves_none(spark):
+    seen, names = [], (shared.WRITERS, shared.LEAST_TASKS)
+    before = [spark.conf.get(name, None) for name in names]
+    with shared._writing(spark):
+        seen = [spark.conf.get(name) for name in names]
+    assert seen == ["2", str(4 * spark.sparkContext.defaultParallelism)]
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
 def _joins(plan) -> list:
     below = [plan.children().apply(i) for i in range(plan.children().length())]
     found = [join for child in below for join in _joins(child)]
