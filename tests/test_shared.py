@@ -7,6 +7,7 @@ from contextlib import redirect_stdout
 from pathlib import Path
 
 import pyarrow.parquet as pq
+import pytest
 from conftest import SF
 
 from kerbside import shared
@@ -57,3 +58,43 @@ def test_trips_are_grouped_without_json(marts):
     plan = plan_of(marts.build_trips())
     grouped = [part for part in plan.split("\n\n") if "Aggregate" in part.split("\n")[0]]
     assert grouped and not any("payload" in part for part in grouped)
+
+
+def test_together_runs_actions_at_the_same_time(spark):
+    from threading import Barrier
+
+    from kerbside.shared import together
+
+    both, ended = Barrier(2, timeout=60), []
+
+    def count(n):
+        both.wait()  # passes only while the other action runs
+        ended.append(spark.range(n).count())
+        return ended[-1]
+
+    assert together(spark, lambda: count(3), lambda: count(5)) == [3, 5]
+
+    def fail():
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError, match="stopped"):
+        together(spark, fail, lambda: ended.append(7))
+    assert ended[-1] == 7 and together(spark) == []
+
+
+def test_events_are_ranked_with_a_stored_table_of_hot_trips(spark, marts, tmp_path):
+    """As in a pipeline run."""
+    from kerbside.operators.running import hot_keys
+    from kerbside.operators.sequence import KEY, sequence_events
+
+    base = marts.base.where("correlation_id is not null")
+    for most in (5, 1_000_000):  # with hot trips and without
+        hot_keys(base, KEY, most).write.parquet(f"{tmp_path}/{most}")
+        hot = spark.read.parquet(f"{tmp_path}/{most}")
+        assert (hot.count() > 0) == (most == 5)
+        ranked = ("event_id", "event_sequence_number", "is_out_of_order")
+        want = sequence_events(base).select(*ranked)
+        got = sequence_events(base, hot=hot).select(*ranked)
+        assert sorted(got.collect()) == sorted(want.collect())
+    # Spark sees the size of the table, and shuffles no event for the joins with it.
+    assert "SortMergeJoin LeftAnti" not in plan_of(sequence_events(base, hot=hot))
