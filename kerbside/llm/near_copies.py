@@ -5,8 +5,9 @@ Two sets with a similarity of 4/5 or more share one of the first n - ceil(4n/5)
 either, in any order of all elements that both follow. Sets meet in buckets of one prefix element;
 length and position bound what a pair can share. A bitmap of each set, a few bits an element,
 bounds it again: a bit that only one of two sets has stands for an element that the other lacks.
-What is left is compared whole. The order puts elements that a sample finds in many sets last,
-which changes how many pairs meet, not the result.
+What is left is compared whole. The order puts elements that a sample finds in several sets last,
+the most frequent at the end, which changes how many pairs meet, not the result: a set has such an
+element in its prefix only if it has few others, so buckets stay small as the corpus grows.
 
 A bucket's members are first compared with its smallest one and with their neighbours in length;
 all pairs not joined by then follow. So a large group of copies is not compared pair by pair.
@@ -35,8 +36,8 @@ WORDS = 5
 PART, WHOLE = 4, 5
 # Members of one bucket that a task compares among themselves; larger buckets go in blocks.
 BLOCK = 2_048
-# One set in SAMPLE is looked at for common elements; the COMMON most frequent go last.
-SAMPLE, COMMON = 16, 100_000
+# One set in SAMPLE is looked at for common elements; at most COMMON, the most frequent, go last.
+SAMPLE, COMMON = 16, 500_000
 
 
 def shingles(text: str) -> np.ndarray:
@@ -94,16 +95,35 @@ def shingle_sets(texts_: DataFrame) -> DataFrame:
     return texts_.select("text").mapInArrow(run, "node long, items array<long>")
 
 
+def _common(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Elements that a sample finds more than once, sorted, and each one's place by frequency, the
+    most frequent first. At most COMMON, whatever the corpus: a hint for the order, none is left
+    out."""
+    sample = shingle_sets(source.where(f"pmod(h, {SAMPLE}) = 0").dropDuplicates(["h"])).select(
+        F.explode("items").alias("item"))
+    counts = settled(sample.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                     "common")
+    # The least frequency that no more than COMMON elements reach: a histogram decides.
+    least, reached = None, 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("items")).orderBy(
+            F.col("n").desc()).toLocalIterator():
+        reached += r["items"]
+        if reached > COMMON:
+            break
+        least = r["n"]
+    if least is None:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    found = counts.where(F.col("n") >= least).toArrow()
+    item, n = (found.column(c).to_numpy().astype(np.int64) for c in ("item", "n"))
+    falling = np.lexsort((item, -n))
+    at = np.argsort(item[falling])
+    return item[falling][at], at
+
+
 def _prefixes(source: DataFrame) -> DataFrame:
     """(doc_id, h, node, n, prefix, bits) of rows (doc_id, text, h): the set's hash, size, prefix
     and bitmap."""
-    sample = shingle_sets(source.where(f"pmod(h, {SAMPLE}) = 0")).select(
-        F.explode("items").alias("item"))
-    # At most COMMON numbers, whatever the corpus: a hint for the order, none is left out.
-    common = [r[0] for r in sample.groupBy("item").count().where("count > 32")
-              .orderBy(F.col("count").desc(), "item").limit(COMMON).collect()]
-    places = np.argsort(np.array(common, dtype=np.int64))
-    ordered = np.array(common, dtype=np.int64)[places]
+    ordered, places = _common(source)
 
     def prefix(items: np.ndarray) -> np.ndarray:
         keep = len(items) - -(-PART * len(items) // WHOLE) + 1 if len(items) else 0

@@ -115,3 +115,23 @@ def test_simhash_stage_joins_what_simhash_links(spark):
     jaccard = set(brute_near_copies(rows).values())
     got = {r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, SF).collect()}
     assert len(jaccard) > len(set(linked.values())) and got == set(linked.values())
+
+
+def test_few_pairs_of_texts_that_share_a_part_are_formed(spark, monkeypatch):
+    """Texts of one template stay apart, and their pairs do not grow with the square of its use."""
+    formed, settled = [], near_copies.settled
+
+    def counted(df, name, *consumed):
+        stored = settled(df, name, *consumed)
+        if name == "pairs":
+            formed.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(near_copies, "settled", counted)
+    template = " ".join(f"t{n * n % 1009}" for n in range(100))
+    rows = [(i, template + " " + " ".join(f"x{i}y{n}" for n in range(60))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.simhash_stage(spark, docs, SF)
+    linked = simhash.near_duplicates(docs).select("component_id").distinct()
+    assert got.count() == linked.count()
+    assert sum(formed) < 2_000  # 19,900 pairs in all
