@@ -25,17 +25,21 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import settled, slices, stored, texts
+from kerbside.llm.common import received, settled, slices, stored, texts
 
 MIN_COUNT = 10
 LONGEST = 3
 TOP = 2_000
 UNKNOWN = "und"
 # Entries that a task holds before it merges them, and bytes of packed entries in a shard.
-HELD = 4_000_000
+HELD = 3_000_000
 SHARD_BYTES = 4_000_000
 LEAST_SHARDS = 1_024
-CACHED = 500_000
+# Words whose numbers a task keeps; bytes of text that it counts, and that it receives, at a time.
+# Two tasks of an executor, and what their workers do not give back, stay far below its heap.
+CACHED = 250_000
+SLICE = 500_000
+RECEIVED = 4_000_000
 
 _BREAK = 0xFF  # a byte that UTF-8 never uses, for the borders of pieces
 _TABLE = bytes(
@@ -115,17 +119,25 @@ class Grams:
 
 
 def _add_up(a: np.ndarray, b: np.ndarray, counts: np.ndarray, first: np.ndarray,
-            last: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows of equal (a, b) added up, in order: counts summed, the least first and largest last."""
+            last: np.ndarray | None = None, sort: str = "stable") -> tuple[np.ndarray, ...]:
+    """Rows of equal (a, b) added up, in order: counts summed, the least first and largest last.
+
+    The stable sort is the faster one for rows that come in sorted runs, and only for them.
+    """
+    lasts = () if last is None else (last,)
     if not len(a):
-        return a, b, counts, first, last
-    order = np.argsort(a, kind="stable")
-    if np.any((a[order][1:] == a[order][:-1]) & (b[order][1:] != b[order][:-1])):
-        order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        return a, b, counts, first, *lasts
+    order = np.argsort(a, kind=sort)
+    a, b_in_order = a[order], b[order]
+    new = np.append(True, a[1:] != a[:-1])
+    if np.any(~new[1:] & (b_in_order[1:] != b_in_order[:-1])):
+        within = np.lexsort((b_in_order, a))
+        order, a, b_in_order = order[within], a[within], b_in_order[within]
+        new[1:] |= b_in_order[1:] != b_in_order[:-1]
+    b, new = b_in_order, np.flatnonzero(new)
     return (a[new], b[new], np.add.reduceat(counts[order], new),
-            np.minimum.reduceat(first[order], new), np.maximum.reduceat(last[order], new))
+            np.minimum.reduceat(first[order], new),
+            *(np.maximum.reduceat(x[order], new) for x in lasts))
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -140,7 +152,7 @@ def _packed_counts(source: DataFrame, seed: int, longest: int, shard_bits: int,
     """Packed entries by shard, language and size: what each task counted."""
 
     def emit(lang: str, size: int, rows: tuple[np.ndarray, ...]) -> Iterator[dict]:
-        a, b, counts, first, _ = rows
+        a, b, counts, first = rows
         shard = (a >> np.uint64(64 - shard_bits)).astype(np.int64)
         starts = np.flatnonzero(np.diff(shard, prepend=-1))
         low = a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]  # the shard has the rest
@@ -166,17 +178,18 @@ def _packed_counts(source: DataFrame, seed: int, longest: int, shard_bits: int,
         def merged() -> None:
             for key, parts in held.items():
                 if len(parts) > 1:
-                    held[key] = [_add_up(*map(np.concatenate, zip(*parts, strict=True)))]
+                    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                    parts.clear()
+                    held[key] = [_add_up(*columns)]
 
         def flush() -> Iterator[pa.RecordBatch]:
             merged()
-            for (lang, size), parts in held.items():
-                rows = list(emit(lang, size, parts[0]))
-                for i in range(0, len(rows), 256):
-                    yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema)
-            held.clear()
+            while held:
+                (lang, size), parts = held.popitem()
+                for rows in itertools.batched(emit(lang, size, parts[0]), 256):
+                    yield pa.RecordBatch.from_pylist(rows, schema)
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             names, lang_of = np.unique(langs.astype(str), return_inverse=True)
             places = batch.column("place").to_numpy(zero_copy_only=False).astype(np.uint32)
@@ -188,7 +201,8 @@ def _packed_counts(source: DataFrame, seed: int, longest: int, shard_bits: int,
                     mine = lang_of[doc] == k if len(names) > 1 else slice(None)
                     place = places[doc[mine]]
                     if len(place):
-                        part = _add_up(a[mine], b[mine], np.ones(len(place), np.int64), place, place)
+                        ones = np.ones(len(place), np.int64)
+                        part = _add_up(a[mine], b[mine], ones, place, sort="quicksort")
                         held.setdefault((lang, size), []).append(part)
                         entries += len(part[0])
             if entries > HELD:
@@ -310,10 +324,11 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_
     for seed in itertools.count(0, 10):
         width = 64 if seed else bits
         packed = _packed_counts(source, seed, longest, shard_bits, width)
-        # The packed entries' shuffle files go before the texts are shuffled.
-        found = settled(_frequent(packed, min_count, shard_bits), "fingerprints")
-        keys = found.where("fingerprint is not null")
-        written = settled(_phrases(source, keys, seed, width, longest).distinct(), "phrases")
+        with received(docs.sparkSession, RECEIVED):
+            # The packed entries' shuffle files go before the texts are shuffled.
+            found = settled(_frequent(packed, min_count, shard_bits), "fingerprints")
+            keys = found.where("fingerprint is not null")
+            written = settled(_phrases(source, keys, seed, width, longest).distinct(), "phrases")
         texts_of = written.groupBy(*key).agg(F.count(F.lit(1)).alias("texts"))
         if keys.join(texts_of, key, "left").where("coalesce(texts, 0) != 1").isEmpty():
             break

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
 from kerbside.llm import collocations
-from kerbside.llm.common import table
+from kerbside.llm.common import BATCH_BYTES, table
 
 DOCS = "doc_id long, text string, lang string, phrase string, f long, size int, place int"
 
@@ -101,3 +104,41 @@ def test_entries_go_before_texts_are_read_again(spark, monkeypatch):
     assert written[:2] == ["fingerprints", "phrases"]
     assert {(r.phrase, r.f) for r in counts.where("size = 2").collect()} == {
         ("a b", 24), ("b c", 12)}
+
+
+def test_a_task_counts_in_little_memory():
+    """Workers keep what they once held, so two of them must fit beside the heap of an executor."""
+    class Source:
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = np.random.default_rng(1)
+    lines = [" ".join(map(str, rng.integers(0, 400_000, 1_000).tolist())) for _ in range(2_000)]
+    batches = [pa.record_batch([pa.array(["en"] * 400), pa.array(lines[i : i + 400]),
+                                pa.array(range(i, i + 400))], ["lang", "text", "place"])
+               for i in range(0, len(lines), 400)]
+    run = collocations._packed_counts(Source(), 0, 3, 10, 64)
+    entries = 0
+    tracemalloc.start()
+    try:
+        for packed in run(iter(batches)):
+            entries += sum(map(len, packed.column("counts").to_pylist()))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert entries > 4_000_000  # more than a task holds
+    assert most < 250_000_000
+
+
+def test_python_gets_small_batches(spark, monkeypatch):
+    limits, settled = [], collocations.settled
+
+    def note(df, name, *consumed):
+        limits.append(spark.conf.get(BATCH_BYTES, None))
+        return settled(df, name, *consumed)
+
+    monkeypatch.setattr(collocations, "settled", note)
+    before = spark.conf.get(BATCH_BYTES, None)
+    collocations.phrase_counts(rows_of(spark, ROWS))
+    assert limits == [str(collocations.RECEIVED)] * 2
+    assert spark.conf.get(BATCH_BYTES, None) == before
