@@ -165,6 +165,15 @@ def test_rows_that_may_have_copies_are_flagged(spark):
     assert dedup.mark_repeated(once).where("_repeats").isEmpty()
 
 
+def test_many_repeated_keys_flag_few_others(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "_WORDS", 16)  # a hundred keys in 1,024 bits
+    df = spark.sql("SELECT id % 5100 AS event_id FROM range(5200)")
+    marked = dedup.mark_repeated(df).where("_repeats").select("event_id").collect()
+    found = [r.event_id for r in marked]
+    assert all(found.count(k) == 2 for k in range(100))
+    assert len(found) - 200 < 250
+
+
 def test_stored_base_shuffles_only_rows_with_copies(spark, marts):
     columns = ["event_id", "kafka_offset", "payload_json", "landed_at"]
     assert sorted(map(str, marts.base.select(*columns).collect())) == sorted(
