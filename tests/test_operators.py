@@ -297,6 +297,18 @@ def test_causes_must_be_strictly_earlier(spark):
                    ("y", "at_cause"), ("z", "at_cause")}
 
 
+def test_lifecycle_order_reads_trips_without_a_request(spark):
+    stages = ("requested_at", "accepted_at", "arrived_at", "started_at", "completed_at", "paid_at")
+    minutes = {"sound": (0, 1, 2, 3, 4, 5), "early": (0, 0, 2, 3, 4, 5),
+               "orphan": (None, 1, 2, 3, 4, 3), "gaps": (None, None, 2, None, 1, 1)}
+    rows = [(name, *(None if m is None else T0 + timedelta(minutes=m) for m in times))
+            for name, times in minutes.items()]
+    trips = spark.createDataFrame(
+        rows, "trip_id string, " + ", ".join(f"{s} timestamp" for s in stages))
+    got = {r["trip_id"] for r in quality.lifecycle_order(trips).collect()}
+    assert got == {"early", "orphan"}
+
+
 def test_every_null_key_is_reported(spark):
     left = spark.createDataFrame([("a",), (None,), (None,)], "k string")
     right = spark.createDataFrame([("b",)], "k string")
