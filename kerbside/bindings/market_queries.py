@@ -72,12 +72,21 @@ register(
 
 
 
-def _demand(m: Marts):
-    return M.demand_buckets(m.trips.selectExpr("pickup_zone_id AS zone_id", "requested_at"))
+def _demand(m: Marts, trips=None):
+    return M.demand_buckets((m.trips if trips is None else trips).selectExpr(
+        "pickup_zone_id AS zone_id", "requested_at"))
 
 
-def _sessions(m: Marts):
-    return m.sessions.selectExpr("online_zone_id AS zone_id", "online_at", "offline_at")
+def _sessions(m: Marts, sessions=None):
+    return (m.sessions if sessions is None else sessions).selectExpr(
+        "online_zone_id AS zone_id", "online_at", "offline_at")
+
+
+def _supply_once(m: Marts):
+    """`supply_buckets` in one plan. What the trips of a session add up to is not read, so trips
+    are assembled for the demand only."""
+    return M.supply_buckets(_sessions(m, m.once("sessions", "trips")),
+                            _demand(m, m.once("trips")))
 
 
 _DEMAND = ("SELECT pickup_zone_id AS zone_id, cast(floor(epoch(requested_at) / 600) AS bigint) "
@@ -90,7 +99,7 @@ _SUPPLY = ("SELECT d.zone_id, d.bucket, any_value(d.demand) AS demand, count(s.o
            "GROUP BY 1, 2")
 register("demand_buckets", query(_DEMAND, "trips"))(_demand)
 register("supply_buckets", query(_SUPPLY, "trips", "ses"))(
-    lambda m: M.supply_buckets(_sessions(m), _demand(m))
+    _supply_once
 )
 _RAW = ("1.0 + 1.5 * greatest(0.0, demand * 6.0 / greatest(greatest(supply * 1.35, 2.0) * 1.9, 1.0) "
         "- 0.72)")
@@ -146,7 +155,7 @@ register(
 register(
     "raw_surge",
     query(f"SELECT zone_id, bucket, round({_RAW}, 6) AS raw FROM ({_SUPPLY})", "trips", "ses"),
-)(lambda m: M.supply_buckets(_sessions(m), _demand(m)).select(
+)(lambda m: _supply_once(m).select(
     "zone_id", "bucket", F.round(M.raw_surge(F.lit(1.0)), 6).alias("raw")
 ))
 

@@ -225,6 +225,27 @@ def test_a_repeated_code_or_a_null_one_in_a_lookup(spark):
     assert lookup_keys(fact, {"key": ("code", dim, "c", "id")}, ["n"]).columns == ["n", "key"]
 
 
+def test_each_event_is_parsed_for_its_own_fields(spark, marts):
+    plan = assembly.trips_from_base(marts.base)._jdf.queryExecution().optimizedPlan().toString()
+    parsed = [line for line in plan.splitlines() if "_json_pay" in line and "from_json" in line]
+    assert parsed and all("StructField(tax_amount" not in line.split("PaymentCompleted")[-1]
+                          for line in parsed)
+    # A row of another type, or without an object, has no fields; a trip's id comes from any type.
+    at = "timestamp'2026-03-17 02:00:00'"
+    base = spark.sql(f"""
+      SELECT * FROM VALUES
+        ('e1', 'RideRequested', 't', '{{"trip_id":"t","requested_at":"2026-03-17T02:00:00Z"}}'),
+        ('e2', 'RideCompleted', 't', '{{"trip_id":"t","tax_amount":1.50,"requested_at":"x"}}'),
+        ('e3', 'PaymentCompleted', 't', '[]'), ('e4', 'RideCompleted', 'u', 'not json')
+      AS (event_id, event_type, correlation_id, payload_json)""").selectExpr(
+        "*", f"{at} AS event_timestamp", f"{at} AS ingested_at", "0.0D AS lateness_sec",
+        "false AS is_late_arrival_event")
+    (trip,) = assembly.trips_from_base(base).collect()
+    assert (trip["trip_id"], str(trip["tax_amount"]), trip["event_count"], trip["is_paid"]) == (
+        "t", "1.50", 3, False)
+    assert trip["requested_at"] is not None
+
+
 def test_trips_sort_only_what_they_take(marts):
     plan = assembly.trips_from_base(marts.base)._jdf.queryExecution().optimizedPlan()
     assert "gateway_reference" not in plan.treeString()

@@ -98,3 +98,69 @@ def test_events_are_ranked_with_a_stored_table_of_hot_trips(spark, marts, tmp_pa
         assert sorted(got.collect()) == sorted(want.collect())
     # Spark sees the size of the table, and shuffles no event for the joins with it.
     assert "SortMergeJoin LeftAnti" not in plan_of(sequence_events(base, hot=hot))
+
+
+def test_stored_layers_keep_whole_number_times_and_no_idle_dictionaries(spark):
+    rows = spark.sql("SELECT timestamp_seconds(id) AS paid_at, cast(id AS string) AS event_id, "
+                     "'x' AS event_type FROM range(100)")
+    table = shared.written_once(spark, "test", "times", lambda: rows)
+    assert sorted(table.collect()) == sorted(rows.collect())
+    files = [Path(f.removeprefix("file://")) for f in table.inputFiles()]
+    for group in (pq.ParquetFile(f).metadata.row_group(0) for f in files):
+        columns = {c.path_in_schema: c for c in (group.column(i) for i in range(3))}
+        assert columns["paid_at"].physical_type == "INT64"
+        kept = {n for n, c in columns.items() if any("DICTIONARY" in e for e in c.encodings)}
+        assert kept == {"event_type"}
+
+
+def test_a_flagged_write_keeps_both_directories_open(spark):
+    seen = []
+
+    def build():
+        return spark.range(10, numPartitions=1).selectExpr("id", "id % 2 = 0 AS even")
+
+    writing = shared._writing
+
+    def spying(session, writers=2):
+        seen.append(writers)
+        return writing(session, writers)
+
+    shared._writing, before = spying, shared._writing
+    try:
+        table = shared.written_apart(spark, "test", "open", build, "even")
+    finally:
+        shared._writing = before
+    # Spark sorts a task's rows once it has as many directories as writers.
+    assert seen == [3]
+    assert {(r["id"], r["even"]) for r in table.collect()} == {(i, i % 2 == 0) for i in range(10)}
+
+
+@pytest.mark.parametrize("name", ["dim_time_in_use", "supply_buckets", "run_report",
+                                  "rule_trips_without_events", "hourly_curve",
+                                  "rule_payment_without_completion"])
+def test_what_a_query_reads_once_is_not_stored(spark, monkeypatch, name):
+    from kerbside.bindings.queries import QUERIES, load
+
+    load()
+    asked = []
+
+    def build(session, scope, table, make):
+        asked.append(table)
+        return make()
+
+    want = sorted(map(str, QUERIES[name](spark, SF).collect()))
+    monkeypatch.setattr("kerbside.bindings.marts.is_written", lambda *a: False)
+    monkeypatch.setattr("kerbside.bindings.marts.written_once", build)
+    found = QUERIES[name](spark, SF)
+    assert set(asked) <= {"base_ranked", "presence"}
+    # Trips are assembled in one place of the plan, and nothing is summed up by session.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate" in line and "is_attribute" in line]
+    assert len(grouped) == 1 and "_l_dispatched_trips" not in plan
+    assert sorted(map(str, found.collect())) == want
+
+
+def test_a_stored_table_is_read_and_not_made_again(spark):
+    m = Marts(spark, SF)
+    _ = m.fct_trips
+    assert Marts(spark, SF).once("fct_trips", "trips").inputFiles() == m.fct_trips.inputFiles()
