@@ -76,3 +76,41 @@ def test_ingestion_reports_reasons_copies_and_state(spark, marts, tmp_path):
     assert last.copies_dropped > 5 and last.dropped_by_watermark == 0
     assert last.state_rows >= landed.count() and last.trigger_ms > 0
     some.unpersist()
+
+
+def test_a_batch_keeps_what_its_writes_read(spark):
+    from kerbside.streaming import ingest
+    from kerbside.streaming.validation import split, validate
+
+    good = ('{"event_id":"e1","event_type":"Nope"}', "trips.events.v1", 0, 1)
+    raw = spark.createDataFrame(
+        [(b"k", good[0].encode(), *good[1:], None)],
+        "key binary, value binary, topic string, partition int, offset long, "
+        "headers array<struct<key:string,value:binary>>")
+    judged = validate(raw)
+    valid = judged.withColumns({"reason": F.lit(None).cast("string"), "event_id": F.lit("e1")})
+    both = judged.unionByName(valid)
+    kept = ingest._kept(both)
+    assert kept.columns == both.columns
+    for part, whole in zip(split(kept), split(both), strict=True):
+        assert part.collect() == whole.collect() and part.count() == 1
+    rows = {r["reason"] is None: r for r in kept.collect()}
+    assert rows[True]["value"] is None and rows[False]["value"] == good[0].encode()
+
+
+def test_the_state_of_copies_has_one_budget(spark, tmp_path):
+    from kerbside.streaming import ingest
+
+    spark.range(0).selectExpr(
+        "cast('k' AS binary) AS key", "cast('v' AS binary) AS value", "'t' AS topic",
+        "0 AS partition", "id AS offset",
+        "cast(NULL AS array<struct<key:string,value:binary>>) AS headers",
+    ).write.parquet(f"{tmp_path}/raw")
+    schema = spark.read.parquet(f"{tmp_path}/raw").schema
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/raw")
+    ingest.start_ingest(stream, ingest.IngestPaths(
+        f"{tmp_path}/landing", f"{tmp_path}/dlq", f"{tmp_path}/checkpoint"),
+        {"availableNow": True}).awaitTermination()
+    rocks = "spark.sql.streaming.stateStore.rocksdb"
+    assert spark.conf.get(f"{rocks}.boundedMemoryUsage") == "true"
+    assert spark.conf.get(f"{rocks}.maxMemoryUsageMB") == "256"
